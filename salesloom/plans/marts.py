@@ -77,7 +77,12 @@ def product_sales(tables: Tables) -> DataFrame:
 
 def product_quality(tables: Tables) -> DataFrame:
     """Rating and reviews beside quantity and revenue, per product."""
-    return _product_totals(tables).select(
+    return quality_columns(_product_totals(tables))
+
+
+def quality_columns(product_sales: DataFrame) -> DataFrame:
+    """The quality mart of a product mart: both hold the same six columns."""
+    return product_sales.select(
         "product_name", "product_category", "avg_rating", "total_reviews",
         "total_quantity_sold", "total_revenue",
     )

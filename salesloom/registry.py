@@ -35,12 +35,13 @@ def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _once(spark, sf_dir, "staging", lambda: staging_feed(spark, sf_dir))
 
 
-def star_tables(spark: SparkSession, sf_dir: str, dense: bool = False) -> dict[str, DataFrame]:
-    return star.build(staging(spark, sf_dir), dense=dense)
-
-
-def snowflake_tables(spark: SparkSession, sf_dir: str, **how: bool) -> dict[str, DataFrame]:
-    return snowflake.build(staging(spark, sf_dir), **how)
+def star_tables(spark: SparkSession, sf_dir: str, *dimensions: str) -> dict[str, DataFrame]:
+    """The fact and the dimensions named, all of them by default."""
+    feed = staging(spark, sf_dir)
+    plans = {e.table: lambda e=e: star.dimension(feed, e) for e in schema.STAR_ENTITIES}
+    plans["dim_date"] = lambda: star.date_dimension(feed)
+    tables = {name: plans[name]() for name in dimensions or plans}
+    return {**tables, "fact_sales": star.fact(feed)}
 
 
 def stored_snowflake(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -142,20 +143,97 @@ def dense_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- models, marts, reports, audits ---------------------------------------------
 
 
-def _star(table: str, dense: bool = False) -> Query:
-    return lambda spark, sf_dir: star_tables(spark, sf_dir, dense)[table]
+# What each mart joins to the fact.
+MART_DIMENSIONS = {
+    "mart_product_sales": ("dim_product",),
+    "mart_customer_sales": ("dim_customer",),
+    "mart_time_sales": ("dim_date",),
+    "mart_store_sales": ("dim_store",),
+    "mart_supplier_sales": ("dim_supplier", "dim_product"),
+    "mart_product_quality": ("dim_product",),
+}
+
+
+def _dimension(entity: schema.Entity) -> Query:
+    return lambda spark, sf_dir: star.dimension(staging(spark, sf_dir), entity)
+
+
+def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.date_dimension(staging(spark, sf_dir))
+
+
+def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.fact(staging(spark, sf_dir))
 
 
-def _snow(table: str, **how: bool) -> Query:
-    return lambda spark, sf_dir: snowflake_tables(spark, sf_dir, **how)[table]
+def fact_sales_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact over dense ids, every id looked up."""
+    return star.build(staging(spark, sf_dir), dense=True)["fact_sales"]
+
+
+def _sub_dimension(spec: snowflake.SubDimension) -> Query:
+    return lambda spark, sf_dir: snowflake.sub_dimension(staging(spark, sf_dir), spec)
+
+
+def _snow_dimension(spec: snowflake.Dimension) -> Query:
+    return lambda spark, sf_dir: snowflake.dimension(staging(spark, sf_dir), spec)
+
+
+def sub_product_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return snowflake.product_details(staging(spark, sf_dir))
+
+
+def snow_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return snowflake.date_dimension(staging(spark, sf_dir))
+
+
+def snow_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = staging(spark, sf_dir)
+    return snowflake.product(feed, snowflake.product_details(feed))
+
+
+def snow_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = staging(spark, sf_dir)
+    joined = {
+        "d_product": snowflake.product(feed, snowflake.product_details(feed)),
+        "d_store": snowflake.dimension(feed, snowflake.STORE),
+    }
+    return snowflake.number_sales(snowflake.fact(feed, joined))
+
+
+def snow_fact_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact over dense ids, every id looked up, without ``sale_id``."""
+    return snowflake.build(staging(spark, sf_dir), dense=True, numbered=False)["f_sale"]
+
+
+def snow_customer_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers and their sub-dimensions with dense ids, looked up."""
+    feed, spec = staging(spark, sf_dir), snowflake.CUSTOMER
+    subs = {s.table: snowflake.sub_dimension(feed, s, dense=True) for s in spec.points_to}
+    return snowflake.dimension(feed, spec, subs, dense=True)
+
+
+def snow_product_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products, details and categories with dense ids, looked up."""
+    feed = staging(spark, sf_dir)
+    return snowflake.product(
+        feed,
+        snowflake.product_details(feed, dense=True),
+        snowflake.sub_dimension(feed, snowflake.PRODUCT_CATEGORY, dense=True),
+        dense=True,
+    )
 
 
 def _mart(name: str, report: Callable[[DataFrame], DataFrame] = lambda mart: mart) -> Query:
-    return lambda spark, sf_dir: rounded(report(marts.MARTS[name](star_tables(spark, sf_dir))))
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables = star_tables(spark, sf_dir, *MART_DIMENSIONS[name])
+        return rounded(report(marts.MARTS[name](tables)))
+
+    return query
 
 
-def _from_star(report: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
-    return lambda spark, sf_dir: rounded(report(star_tables(spark, sf_dir)))
+def _from_star(report: Callable[[dict[str, DataFrame]], DataFrame], *dimensions: str) -> Query:
+    return lambda spark, sf_dir: rounded(report(star_tables(spark, sf_dir, *dimensions)))
 
 
 def dq_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,11 +275,6 @@ def dq_parse_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.parse_failures(staging(spark, sf_dir))
 
 
-def snow_fact_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact over dense ids, every id looked up, without ``sale_id``."""
-    return snowflake_tables(spark, sf_dir, dense=True, numbered=False)["f_sale"]
-
-
 QUERIES: dict[str, Query] = {
     "stg_rows": stg_rows,
     "parse_strict": parse_strict,
@@ -210,31 +283,31 @@ QUERIES: dict[str, Query] = {
     "null_to_empty": null_to_empty,
     "hash_key": hash_key,
     "dense_key": dense_key,
-    "sub_customer_location": _snow("d_customer_location"),
-    "sub_customer_pet": _snow("d_customer_pet"),
-    "sub_seller_location": _snow("d_seller_location"),
-    "sub_store_location": _snow("d_store_location"),
-    "sub_supplier_location": _snow("d_supplier_location"),
-    "sub_product_category": _snow("d_product_category"),
-    "sub_product_details": _snow("d_product_details"),
-    "snow_date": _snow("d_date"),
-    "snow_customer": _snow("d_customer"),
-    "snow_seller": _snow("d_seller"),
-    "snow_product": _snow("d_product"),
-    "snow_store": _snow("d_store"),
-    "snow_supplier": _snow("d_supplier"),
-    "snow_fact": _snow("f_sale"),
+    "sub_customer_location": _sub_dimension(snowflake.CUSTOMER_LOCATION),
+    "sub_customer_pet": _sub_dimension(snowflake.CUSTOMER_PET),
+    "sub_seller_location": _sub_dimension(snowflake.SELLER_LOCATION),
+    "sub_store_location": _sub_dimension(snowflake.STORE_LOCATION),
+    "sub_supplier_location": _sub_dimension(snowflake.SUPPLIER_LOCATION),
+    "sub_product_category": _sub_dimension(snowflake.PRODUCT_CATEGORY),
+    "sub_product_details": sub_product_details,
+    "snow_date": snow_date,
+    "snow_customer": _snow_dimension(snowflake.CUSTOMER),
+    "snow_seller": _snow_dimension(snowflake.SELLER),
+    "snow_product": snow_product,
+    "snow_store": _snow_dimension(snowflake.STORE),
+    "snow_supplier": _snow_dimension(snowflake.SUPPLIER),
+    "snow_fact": snow_fact,
     "snow_fact_lookup": snow_fact_lookup,
-    "snow_customer_lookup": _snow("d_customer", dense=True),
-    "snow_product_lookup": _snow("d_product", dense=True),
-    "dim_customer": _star("dim_customer"),
-    "dim_seller": _star("dim_seller"),
-    "dim_product": _star("dim_product"),
-    "dim_store": _star("dim_store"),
-    "dim_supplier": _star("dim_supplier"),
-    "dim_date": _star("dim_date"),
-    "fact_sales": _star("fact_sales"),
-    "fact_sales_lookup": _star("fact_sales", dense=True),
+    "snow_customer_lookup": snow_customer_lookup,
+    "snow_product_lookup": snow_product_lookup,
+    "dim_customer": _dimension(schema.CUSTOMER),
+    "dim_seller": _dimension(schema.SELLER),
+    "dim_product": _dimension(schema.PRODUCT),
+    "dim_store": _dimension(schema.STORE),
+    "dim_supplier": _dimension(schema.SUPPLIER),
+    "dim_date": dim_date,
+    "fact_sales": fact_sales,
+    "fact_sales_lookup": fact_sales_lookup,
     "mart_product_sales": _mart("mart_product_sales"),
     "mart_customer_sales": _mart("mart_customer_sales"),
     "mart_time_sales": _mart("mart_time_sales"),
@@ -247,13 +320,15 @@ QUERIES: dict[str, Query] = {
     "top_customers": _mart("mart_customer_sales", reports.top_customers),
     "customers_by_country": _mart("mart_customer_sales", reports.customers_by_country),
     "monthly_trend": _mart("mart_time_sales", reports.monthly_trend),
-    "yearly_trend": _from_star(reports.yearly_trend),
+    "yearly_trend": _from_star(reports.yearly_trend, "dim_date"),
     "avg_order_by_month": _mart("mart_time_sales", reports.avg_order_by_month),
     "top_stores": _mart("mart_store_sales", reports.top_stores),
-    "stores_by_city": _from_star(lambda t: reports.stores_by(t, "store_city")),
-    "stores_by_country": _from_star(lambda t: reports.stores_by(t, "store_country")),
+    "stores_by_city": _from_star(lambda t: reports.stores_by(t, "store_city"), "dim_store"),
+    "stores_by_country": _from_star(lambda t: reports.stores_by(t, "store_country"), "dim_store"),
     "top_suppliers": _mart("mart_supplier_sales", reports.top_suppliers),
-    "suppliers_by_country": _from_star(reports.suppliers_by_country),
+    "suppliers_by_country": _from_star(
+        reports.suppliers_by_country, "dim_supplier", "dim_product"
+    ),
     "rating_sales_corr": _mart("mart_product_quality", reports.rating_sales_correlation),
     "most_reviewed": _mart("mart_product_quality", reports.most_reviewed),
     "dq_duplicate_keys": dq_duplicate_keys,

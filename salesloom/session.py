@@ -21,6 +21,8 @@ SETTINGS = {
     # The 50-column feed makes generated methods too long for the JIT compiler;
     # beyond this many bytes Spark falls back to smaller ones.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Do not record a Python stack for every column expression of a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
 }
 
