@@ -7,33 +7,27 @@ counts it wrote. Jobs overwrite, so a failed run is simply run again.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from salesloom import schema
 from salesloom.plans import marts, snowflake, star
-from salesloom.session import materialize
+from salesloom.session import materialize, side_by_side
 from salesloom.sources.csv_feed import read_csv_feed
 from salesloom.sources.tables import JdbcStore, Store, write_counted
 
 STAGING = "staging"
-# Small tables leave most of a cluster idle, so several are written at a time.
-WRITERS = 4
 
 
 def _write_all(
     spark: SparkSession, target: Store, plans: Mapping[str, Callable[[], DataFrame]]
 ) -> dict[str, int]:
-    """Write independent tables side by side."""
+    """Write independent tables; their row counts."""
 
-    def write(name: str) -> int:
-        return write_counted(target, plans[name](), name)
+    def write(name: str) -> Callable[[], int]:
+        return lambda: write_counted(target, plans[name](), name)
 
-    with ThreadPoolExecutor(WRITERS) as pool:
-        running = {n: pool.submit(inheritable_thread_target(spark)(write), n) for n in plans}
-        return {n: done.result() for n, done in running.items()}
+    return side_by_side(spark, {name: write(name) for name in plans})
 
 
 def read_staging(spark: SparkSession, source: Store, table: str = STAGING) -> DataFrame:

@@ -44,8 +44,11 @@ def dense_key(df: DataFrame, id_column: str, by: Sequence[str], bucket_digits: i
     (65,536 rows at the default) passes through one task. The order depends on the
     values alone, so a second run or a lost executor gives the same numbers.
     """
-    hashed = _hashed(df, by, bucket_digits)
-    placed = _place(hashed.withColumn("_n", F.lit(1).cast("bigint")))
+    hashed = df.select(
+        "*", content_key(*[F.col(c) for c in by]).alias("_hash"),
+        F.lit(1).cast("bigint").alias("_n"),
+    )
+    placed = _place(_bucketed(hashed, bucket_digits))
     return placed.select((F.col("_before") + 1).alias(id_column), *df.columns)
 
 
@@ -54,28 +57,27 @@ def dense_key_of_copies(
 ) -> DataFrame:
     """Number the rows of ``df`` 1..n where rows may be equal.
 
-    Equal rows are counted first (combined before the shuffle), each distinct row
-    gets a block of numbers, and blocks are unfolded again: first into chunks that
-    are spread over the cluster, then into rows, so a row with a billion copies is
-    not unfolded by one task.
+    Equal rows are counted first (combined before the shuffle) and each distinct row
+    gets a block of numbers. A row with more than ``chunk`` copies is cut into pieces
+    that hash to different ranges, so a billion copies are not the work of one task.
     """
     names = df.columns
+    piece = F.col("_piece")
     counted = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
-    placed = _place(_hashed(counted, names, bucket_digits))
-    first, last = F.col("_before") + 1, F.col("_before") + F.col("_n")
-    blocks = placed.select(*names, last.alias("_last"),
-                           F.explode(F.sequence(first, last, F.lit(chunk))).alias("_from"))
-    # Only a row with more copies than one chunk has several blocks to spread.
-    spread = blocks.repartition(F.col("_from"))
-    block_end = F.least(F.col("_from") + F.lit(chunk - 1), F.col("_last"))
-    return spread.select(
-        F.explode(F.sequence(F.col("_from"), block_end)).alias(id_column), *names
+    pieces = counted.select(
+        *names, "_n", F.explode(F.expr(f"sequence(0, (_n - 1) div {chunk})")).alias("_piece")
+    ).withColumn("_n", F.least(F.lit(chunk), F.col("_n") - piece * chunk))
+    values = [F.col(c) for c in names]
+    hashed = pieces.withColumn(
+        "_hash", F.when(piece == 0, content_key(*values)).otherwise(content_key(*values, piece))
     )
+    placed = _place(_bucketed(hashed, bucket_digits))
+    numbers = F.sequence(F.col("_before") + 1, F.col("_before") + F.col("_n"))
+    return placed.select(F.explode(numbers).alias(id_column), *names)
 
 
-def _hashed(df: DataFrame, by: Sequence[str], bucket_digits: int) -> DataFrame:
-    hashed = df.withColumn("_hash", content_key(*[F.col(c) for c in by]))
-    return hashed.withColumn("_bucket", F.substring("_hash", 1, bucket_digits))
+def _bucketed(hashed: DataFrame, digits: int) -> DataFrame:
+    return hashed.withColumn("_bucket", F.substring("_hash", 1, digits))
 
 
 def _place(hashed: DataFrame) -> DataFrame:

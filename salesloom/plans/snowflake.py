@@ -22,6 +22,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -343,11 +345,12 @@ def fact(staging: DataFrame, tables: Tables, enforce: bool = True) -> DataFrame:
     has its row. Only ``d_product`` and ``d_store`` are joined.
     """
     named = (CUSTOMER, SELLER, SUPPLIER)
-    complete = staging.dropna(subset=[c for d in named for c in d.entity.key])
-    dated = complete.withColumn(
+    names = [c for d in named for c in d.entity.key]
+    complete = reduce(and_, [F.col(c).isNotNull() for c in [*names, "sale_date"]])
+    dated = staging.filter(complete).withColumn(
         "full_date", parse.permissive_date(F.col("sale_date"))
-    ).dropna(subset=["full_date"])
-    sales = dated.select(
+    )
+    sales = dated.filter(F.col("full_date").isNotNull()).select(
         *_measures(),
         *[
             content_key(*[F.col(c) for c in d.entity.key]).alias(d.entity.id) for d in named

@@ -7,7 +7,7 @@ that show the feed and its parsing read the given tables directly.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -15,7 +15,7 @@ from salesloom import schema
 from salesloom.functions import parse
 from salesloom.operators.keys import content_key, content_key_if_complete
 from salesloom.plans import marts, quality, reports, snowflake, star
-from salesloom.session import materialize
+from salesloom.session import materialize, side_by_side
 from salesloom.sources.retail import staging_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,22 +44,26 @@ def star_tables(spark: SparkSession, sf_dir: str, *dimensions: str) -> dict[str,
     return {**tables, "fact_sales": star.fact(feed)}
 
 
-def stored_snowflake(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The snowflake written table by table, for audits that read each one often.
+def _store(spark: SparkSession, sf_dir: str, kind: str, tables: Mapping[str, DataFrame]) -> dict:
+    """Each table written once; what is read back, by name."""
+    return side_by_side(spark, {
+        name: lambda name=name, df=df: _once(spark, sf_dir, f"{kind}-{name}", lambda: df)
+        for name, df in tables.items()
+    })
 
-    The fact reads the stored dimensions.
-    """
-    feed = staging(spark, sf_dir)
-    stored: dict[str, DataFrame] = {}
 
-    def store(tables: dict[str, DataFrame]) -> None:
-        for name, df in tables.items():
-            stored[name] = _once(spark, sf_dir, name, lambda df=df: df)
+def stored_dimensions(spark: SparkSession, sf_dir: str, dense: bool = False) -> dict:
+    """The thirteen snowflake dimensions as tables; each level reads the one before."""
+    kind, feed = ("dense" if dense else "content"), staging(spark, sf_dir)
+    stored = _store(spark, sf_dir, kind, snowflake.sub_dimensions(feed, dense))
+    return stored | _store(spark, sf_dir, kind, snowflake.dimensions(feed, stored, dense))
 
-    store(snowflake.sub_dimensions(feed))
-    store(snowflake.dimensions(feed, stored))
-    store({"f_sale": snowflake.number_sales(snowflake.fact(feed, stored))})
-    return stored
+
+def stored_snowflake(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The whole snowflake as tables, for audits that read each one often."""
+    stored = stored_dimensions(spark, sf_dir)
+    sales = snowflake.number_sales(snowflake.fact(staging(spark, sf_dir), stored))
+    return stored | _store(spark, sf_dir, "content", {"f_sale": sales})
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -168,7 +172,9 @@ def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_sales_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact over dense ids, every id looked up."""
-    return star.build(staging(spark, sf_dir), dense=True)["fact_sales"]
+    feed = staging(spark, sf_dir)
+    dense = _store(spark, sf_dir, "dense", star.dimensions(feed, dense=True))
+    return star.fact_by_lookup(feed, dense)
 
 
 def _sub_dimension(spec: snowflake.SubDimension) -> Query:
@@ -203,7 +209,8 @@ def snow_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snow_fact_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact over dense ids, every id looked up, without ``sale_id``."""
-    return snowflake.build(staging(spark, sf_dir), dense=True, numbered=False)["f_sale"]
+    dense = stored_dimensions(spark, sf_dir, dense=True)
+    return snowflake.fact_by_lookup(staging(spark, sf_dir), dense)
 
 
 def snow_customer_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -69,3 +72,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     folder = f"{shared_directory(spark).rstrip('/')}/{name}-{os.urandom(8).hex()}"
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def side_by_side(
+    spark: SparkSession, actions: Mapping[str, Callable[[], object]], at_a_time: int = 4
+) -> dict:
+    """Run independent actions on one session together; results by name.
+
+    Writing one small table leaves most of a cluster idle.
+    """
+    with ThreadPoolExecutor(at_a_time) as pool:
+        running = {n: pool.submit(inheritable_thread_target(spark)(a)) for n, a in actions.items()}
+        return {n: done.result() for n, done in running.items()}
