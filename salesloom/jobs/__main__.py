@@ -1,6 +1,6 @@
 """Command line of the jobs.
 
-    python -m salesloom.jobs ingest    --paths DIR_OR_GLOB --target ROOT
+    python -m salesloom.jobs ingest    --paths DIR_OR_GLOB --target ROOT [--large-files]
     python -m salesloom.jobs snowflake --source ROOT --target ROOT [--dense]
     python -m salesloom.jobs star      --source ROOT --target ROOT [--dense]
     python -m salesloom.jobs marts     --source ROOT --target ROOT
@@ -15,6 +15,7 @@ import argparse
 
 from salesloom.jobs import warehouse
 from salesloom.session import build_session
+from salesloom.sources.csv_feed import read_csv_feed, read_large_csv_feed
 from salesloom.sources.tables import FileStore
 
 
@@ -26,7 +27,7 @@ def main() -> None:
     parser.add_argument("--target", required=True, help="folder of the output tables")
     parser.add_argument("--dense", action="store_true", help="number ids 1..n")
     parser.add_argument(
-        "--single-line", action="store_true", help="no line breaks inside fields: split CSV files"
+        "--large-files", action="store_true", help="split CSV files, also inside quoted fields"
     )
     parser.add_argument("--master", help="Spark master, if not set by spark-submit")
     args = parser.parse_args()
@@ -38,7 +39,8 @@ def main() -> None:
     spark = build_session(f"salesloom {args.job}", args.master)
     target = FileStore(args.target)
     if args.job == "ingest":
-        counts = warehouse.ingest(spark, args.paths, target, not args.single_line)
+        read = read_large_csv_feed if args.large_files else read_csv_feed
+        counts = warehouse.ingest(spark, args.paths, target, read)
     elif args.job == "marts":
         counts = warehouse.build_marts(spark, FileStore(args.source), target)
     else:

@@ -38,10 +38,13 @@ def read_staging(spark: SparkSession, source: Store, table: str = STAGING) -> Da
 
 
 def ingest(
-    spark: SparkSession, paths: str | Sequence[str], target: Store, multi_line: bool = True
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    target: Store,
+    read: Callable[..., DataFrame] = read_csv_feed,
 ) -> dict[str, int]:
-    """CSV files to the staging table."""
-    feed = read_csv_feed(spark, paths, multi_line=multi_line)
+    """CSV files to the staging table; ``read`` is one of the readers of the feed."""
+    feed = read(spark, paths)
     return {STAGING: write_counted(target, feed, STAGING)}
 
 

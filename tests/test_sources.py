@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import types as T
 
 from salesloom import schema
-from salesloom.sources.csv_feed import read_csv_feed
+from salesloom.sources.csv_feed import read_csv_feed, read_large_csv_feed
 from salesloom.sources.tables import CatalogStore, FileStore, JdbcStore, write_counted
 
 THREE = T.StructType([T.StructField(c, T.StringType()) for c in "abc"])
@@ -49,6 +52,55 @@ def test_single_line_files_are_split(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+@pytest.fixture
+def small_splits(spark):
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {name: spark.conf.get(name) for name in names}
+    for name in names:
+        spark.conf.set(name, "64")
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+FIELDS = [
+    "", '""', "plain", " blanks ", '"quoted"', '"a ""q"" b"', '"line\nbreak"', '"\n"', '"a\n\nb"',
+    '"comma, ""and\n""both"', '"""start"', '"end"""', '"crlf\r\nbreak"', '"' + "long\n" * 40 + '"', "é",
+]
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_large_files_are_read_like_whole_ones(spark, tmp_path, small_splits, end):
+    """Every mix of fields, cut into splits of 64 bytes, inside and outside of quotes."""
+    pick = random.Random(5)
+    for name in ("FEED.csv", "FEED (1).csv"):
+        rows = [",".join(pick.choice(FIELDS) for _ in range(3)) for _ in range(150)]
+        rows += ["", ",".join(["x"] * 3)]
+        write(tmp_path, end.join(["a,b,c", *rows]) + (end if name == "FEED.csv" else ""), name)
+    # A row of three unquoted empty fields still has two commas, so it is not a blank line.
+    whole = read_csv_feed(spark, str(tmp_path), THREE)
+    split = read_large_csv_feed(spark, str(tmp_path), THREE)
+    assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 50
+
+    def rows(df):
+        # In a CRLF file Spark's own reader shortens CRLF inside quotes to LF.
+        lf = [
+            tuple(v.replace("\r\n", "\n") if v and end == "\r\n" else v for v in r)
+            for r in df.collect()
+        ]
+        return Counter(lf)
+
+    assert rows(split) == rows(whole)
+    assert whole.count() == 302
+
+
+@pytest.mark.parametrize("bad", ["1,2", "1,2,3,4", '1,"x,3'])
+def test_malformed_rows_raise_in_large_files(spark, tmp_path, bad):
+    path = write(tmp_path, f"a,b,c\n1,2,3\n{bad}\n")
+    with pytest.raises(Exception):
+        read_large_csv_feed(spark, path, THREE).collect()
+
+
 def test_staging_schema():
     assert len(schema.STAGING_SCHEMA) == 50 == len(set(schema.STAGING_COLUMNS))
     assert all(f.nullable and f.dataType == T.StringType() for f in schema.STAGING_SCHEMA)
