@@ -1,8 +1,9 @@
 """Every query by name: ``(spark, sf_dir) -> DataFrame`` over the given tables.
 
-The feed is written once per application and folder as a staging table, as the
-warehouse itself does, and the models read it with column pruning. The queries
-that show the feed and its parsing read the given tables directly.
+As in the warehouse itself, the feed is written once per application and folder as
+a staging table, which the models read with column pruning, and marts and audits
+read the models as tables. The queries that show the feed and its parsing read the
+given tables directly.
 """
 
 from __future__ import annotations
@@ -35,34 +36,55 @@ def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _once(spark, sf_dir, "staging", lambda: staging_feed(spark, sf_dir))
 
 
-def star_tables(spark: SparkSession, sf_dir: str, *dimensions: str) -> dict[str, DataFrame]:
-    """The fact and the dimensions named, all of them by default."""
-    feed = staging(spark, sf_dir)
-    plans = {e.table: lambda e=e: star.dimension(feed, e) for e in schema.STAR_ENTITIES}
-    plans["dim_date"] = lambda: star.date_dimension(feed)
-    tables = {name: plans[name]() for name in dimensions or plans}
-    return {**tables, "fact_sales": star.fact(feed)}
+Plans = Mapping[str, Callable[[], DataFrame]]
 
 
-def _store(spark: SparkSession, sf_dir: str, kind: str, tables: Mapping[str, DataFrame]) -> dict:
-    """Each table written once; what is read back, by name."""
+def _store(spark: SparkSession, sf_dir: str, kind: str, plans: Plans) -> dict[str, DataFrame]:
+    """Each table planned and written once; what is read back, by name."""
     return side_by_side(spark, {
-        name: lambda name=name, df=df: _once(spark, sf_dir, f"{kind}-{name}", lambda: df)
-        for name, df in tables.items()
+        name: lambda name=name, build=build: _once(spark, sf_dir, f"{kind}-{name}", build)
+        for name, build in plans.items()
     })
 
 
+def star_tables(spark: SparkSession, sf_dir: str, *dimensions: str) -> dict[str, DataFrame]:
+    """The fact and the dimensions named, all of them by default, as tables."""
+    feed = staging(spark, sf_dir)
+    plans = {e.table: lambda e=e: star.dimension(feed, e) for e in schema.STAR_ENTITIES}
+    plans["dim_date"] = lambda: star.date_dimension(feed)
+    wanted = {name: plans[name] for name in dimensions or plans}
+    return _store(spark, sf_dir, "content", {**wanted, "fact_sales": lambda: star.fact(feed)})
+
+
 def stored_dimensions(spark: SparkSession, sf_dir: str, dense: bool = False) -> dict:
     """The thirteen snowflake dimensions as tables; each level reads the one before."""
     kind, feed = ("dense" if dense else "content"), staging(spark, sf_dir)
-    stored = _store(spark, sf_dir, kind, snowflake.sub_dimensions(feed, dense))
-    return stored | _store(spark, sf_dir, kind, snowflake.dimensions(feed, stored, dense))
+    subs = {
+        s.table: lambda s=s: snowflake.sub_dimension(feed, s, dense)
+        for s in snowflake.SUB_DIMENSIONS
+    }
+    subs["d_product_details"] = lambda: snowflake.product_details(feed, dense)
+    subs["d_date"] = lambda: snowflake.date_dimension(feed, dense)
+    stored = _store(spark, sf_dir, kind, subs)
+
+    found = stored if dense else None
+    dims = {
+        d.table: lambda d=d: snowflake.dimension(feed, d, found, dense)
+        for d in snowflake.DIMENSIONS
+    }
+    dims["d_product"] = lambda: snowflake.product(
+        feed, stored["d_product_details"], found and stored["d_product_category"], dense
+    )
+    return stored | _store(spark, sf_dir, kind, dims)
 
 
 def stored_snowflake(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The whole snowflake as tables, for audits that read each one often."""
     stored = stored_dimensions(spark, sf_dir)
-    sales = snowflake.number_sales(snowflake.fact(staging(spark, sf_dir), stored))
+
+    def sales() -> DataFrame:
+        return snowflake.number_sales(snowflake.fact(staging(spark, sf_dir), stored))
+
     return stored | _store(spark, sf_dir, "content", {"f_sale": sales})
 
 
@@ -173,7 +195,9 @@ def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fact_sales_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact over dense ids, every id looked up."""
     feed = staging(spark, sf_dir)
-    dense = _store(spark, sf_dir, "dense", star.dimensions(feed, dense=True))
+    plans = {e.table: lambda e=e: star.dimension(feed, e, True) for e in schema.STAR_ENTITIES}
+    plans["dim_date"] = lambda: star.date_dimension(feed, True)
+    dense = _store(spark, sf_dir, "dense", plans)
     return star.fact_by_lookup(feed, dense)
 
 
@@ -199,12 +223,8 @@ def snow_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snow_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = staging(spark, sf_dir)
-    joined = {
-        "d_product": snowflake.product(feed, snowflake.product_details(feed)),
-        "d_store": snowflake.dimension(feed, snowflake.STORE),
-    }
-    return snowflake.number_sales(snowflake.fact(feed, joined))
+    stored = stored_dimensions(spark, sf_dir)
+    return snowflake.number_sales(snowflake.fact(staging(spark, sf_dir), stored))
 
 
 def snow_fact_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:

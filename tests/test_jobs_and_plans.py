@@ -50,8 +50,7 @@ def test_fact_is_a_projection(spark, sf_dir):
 
 
 def test_mart_scans_only_its_columns_and_reduces_before_joining(spark, sf_dir):
-    tables = registry.star_tables(spark, sf_dir, "dim_date")
-    text = plan(marts.time_sales(tables))
+    text = plan(marts.time_sales(star.build(registry.staging(spark, sf_dir))))
     scans = [line.split("ReadSchema: ")[1] for line in text.splitlines() if "ReadSchema" in line]
     assert sorted(scans) == [
         "struct<sale_date:string,sale_total_price:string>", "struct<sale_date:string>",
