@@ -18,11 +18,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 
 from salesloom.llm import decontaminate, langid, ngram_join, packing, pii  # noqa: E402
-from salesloom.llm.common import remainder, stage, table  # noqa: E402
+from salesloom.llm.common import remainder, ship, stage, table  # noqa: E402
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in some learned language; a missing label becomes the predicted one."""
+    ship(spark)
     samples = langid.sample(docs.where(remainder(F.col("doc_id"), 5) != 0))
     found = docs.withColumn("_found", langid.language(F.col("text"), samples))
     kept = found.where(F.col("_found.lang") != langid.UNKNOWN)

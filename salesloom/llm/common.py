@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +19,7 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -78,3 +83,26 @@ class Remembered(dict):
             self.clear()
         value = self[key] = self.function(key)
         return value
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, once per application.
+
+    Nothing is sent if the package's folder is on PYTHONPATH, as on a cluster where it is
+    installed; else a zip of it goes to the workers the way Spark sends any dependency.
+    """
+    root = Path(__file__).resolve().parents[2]
+    known = [Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    application = spark.sparkContext.applicationId
+    if root in known or application in _SHIPPED:
+        return
+    folder = tempfile.mkdtemp(prefix="salesloom-code-")
+    target = f"{folder}/salesloom.zip"
+    with zipfile.ZipFile(target, "w") as out:
+        for source in sorted((root / "salesloom").rglob("*.py")):
+            out.write(source, source.relative_to(root))
+    spark.sparkContext.addPyFile(target)
+    _SHIPPED.add(application)

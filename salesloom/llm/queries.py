@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from salesloom.llm import decontaminate, langid, ngram_join, packing, pii
+from salesloom.llm import (
+    decontaminate, fingerprints, langid, lm_score, ngram_join, packing, pii, placement, revisits,
+    secrets,
+)
 from salesloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +38,42 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"))
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    addressed = secrets.address(documents)
+    return secrets.report(secrets.findings(addressed, secrets.scan(documents, addressed)))
+
+
+def op6_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page of the crawl derived from ``pages``, resolved; fields as name=value."""
+    fields = F.array_join(F.transform(
+        "fields", lambda e: F.concat(e["key"], F.lit("="), e["value"])
+    ), ";")
+    found = revisits.resolve(revisits.crawl(table(spark, sf_dir, "pages")))
+    return found.withColumn("fields", fields)
+
+
+def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
+
+
+SHARDS = [f"shard-{i:03d}" for i in range(256)]
+
+
+def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document on one of 256 shards, and where it goes if the last one leaves."""
+    documents = table(spark, sf_dir, "documents").select("doc_id")
+    placed = placement.place(documents, "doc_id", SHARDS)
+    fewer = placed.withColumnRenamed("shard", "now").drop("slot")
+    return placement.place(fewer, "doc_id", SHARDS[:-1]).select(
+        "doc_id", "slot", F.col("now").alias("shard"), F.col("shard").alias("shard_without_last")
+    )
+
+
 def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.sequences(table(spark, sf_dir, "documents"))
 
@@ -47,8 +86,13 @@ QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_decontaminate": op3_decontaminate,
+    "op4_lattice_score": op4_lattice_score,
+    "op5_secrets": op5_secrets,
+    "op6_revisits": op6_revisits,
+    "op7_fingerprint": op7_fingerprint,
+    "op8_shards": op8_shards,
     "op9_pack": op9_pack,
     "op10_language": op10_language,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op6_revisits": revisits.ORACLE}
