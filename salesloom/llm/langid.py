@@ -88,7 +88,8 @@ class Parser:
 
     A table entry is the next state times the alphabet size; a missing transition holds the
     complement of the state that the character leads to from the root, so a negative entry
-    says "a new phrase begins here".
+    says "a new phrase begins here". A character that the sample lacks leads to a state without
+    transitions: it is a phrase of its own.
     """
 
     def __init__(self, samples: dict[str, list[str]]):
@@ -107,7 +108,8 @@ class Parser:
         self.languages = list(samples)
         self.tables = [self._table(texts) for texts in samples.values()]
 
-    def _table(self, texts: list[str]) -> np.ndarray:
+    def _table(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Transitions of all states, and those of the root."""
         end = self.size  # between texts; no text holds it
         sequence: list[int] = []
         for text in texts:
@@ -138,16 +140,16 @@ class Parser:
                     link[q] = link[current] = clone
             last = current
         size = self.size
-        root = np.zeros(size, np.int32)
+        root = np.full(size, len(next_) * size, np.int32)
         for c, target in next_[0].items():
             if c != end:
                 root[c] = target * size
-        table = np.tile(~root, (len(next_), 1))
+        table = np.tile(~root, (len(next_) + 1, 1))
         for state, moves in enumerate(next_):
             for c, target in moves.items():
                 if c != end:
                     table[state, c] = target * size
-        return table.ravel()
+        return table.ravel(), root
 
     def symbols(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Classes of all texts in a row, runs of blanks as one, none in front; lengths."""
@@ -180,10 +182,10 @@ class Parser:
         grid = np.ascontiguousarray(grid.T)
         active = np.searchsorted(-size, -np.arange(CUT), side="left").tolist()
         needed = np.zeros((len(texts), len(self.tables)), np.int64)
-        for k, table in enumerate(self.tables):
-            state = np.zeros(len(size), np.int32)
+        for k, (table, root) in enumerate(self.tables):
+            state = root.take(grid[0])
             count = np.zeros(len(size), np.int32)
-            for step in range(CUT):
+            for step in range(1, CUT):
                 n = active[step]
                 if not n:
                     break

@@ -229,8 +229,8 @@ def fit(
 ) -> Model:
     """Trees from four fifths of the texts (by hash), curve and threshold from the others.
 
-    The threshold is the least calibrated probability that keeps the expected share of
-    right additions at ``precision``. Without proposals, or without right ones, nothing is
+    The threshold lies halfway below the least calibrated probability that keeps the expected
+    share of right additions at ``precision``, and never under a half. Without proposals, or without right ones, nothing is
     ever added.
     """
     value = text_or_empty(text)
@@ -262,7 +262,9 @@ def fit(
     right = np.cumsum(p[order] * weight) / np.cumsum(weight)
     good = np.flatnonzero(right >= precision)
     if len(good):
-        model.threshold = max(0.5, round(float(p[order][good[-1]]), 6) - 1e-6)
+        least = good[-1]
+        below = float(p[order][least + 1]) if least + 1 < len(p) else 0.0
+        model.threshold = max(0.5, (float(p[order][least]) + below) / 2)
     return model
 
 

@@ -11,6 +11,7 @@ from salesloom.llm import (
     secrets,
 )
 from salesloom.llm.common import table
+from salesloom.llm.oracles import ORACLE_SQL as ORACLE_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,5 +95,3 @@ QUERIES: dict[str, Query] = {
     "op9_pack": op9_pack,
     "op10_language": op10_language,
 }
-
-ORACLE_SQL: dict[str, str] = {"op6_revisits": revisits.ORACLE}
