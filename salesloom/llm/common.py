@@ -19,6 +19,7 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder, in a session that is ready for Python workers."""
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -89,11 +90,13 @@ _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Make this package importable in Python workers, once per application.
+    """Make this package importable in Python workers, and bound their batches by bytes, as texts
+    differ in length by orders of magnitude.
 
     Nothing is sent if the package's folder is on PYTHONPATH, as on a cluster where it is
     installed; else a zip of it goes to the workers the way Spark sends any dependency.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
     root = Path(__file__).resolve().parents[2]
     known = [Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
     application = spark.sparkContext.applicationId

@@ -8,16 +8,24 @@ of an enumerated subset of parts (two parts where few differences are allowed, o
 many are: the number of signatures then stays linear in the size). Similar sets always share
 a signature; an exact comparison of the sets follows.
 
-Which signatures a set emits, for at most d differences:
-- its first d + 1 non-empty parts. The first part on which both sets agree has at most d
-  non-empty parts before it in either set, as each of those holds a difference;
+Which single parts a set needs, for at most d differences:
+- its d + 1 non-empty parts whose contents the fewest classes hold. The rarest part on which two
+  sets agree has at most d rarer ones in either, as each of those holds a difference. So the
+  other parts are spared, and these are the ones that hold nothing but a common passage;
 - if it has no d + 1 non-empty parts, all parts, empty ones too. If both sets are such, they
   still agree on some part. If one is not, the argument above holds for it.
 
 Equal sets are one class before any comparison. In a group of classes that share a signature
-only star pairs with one hub are compared, the class with the most shared signatures; a hub
-leaves its group, and groups whose members are not yet connected are taken up again. So a group
-of n near copies costs about n comparisons and no link between different components is lost.
+only star pairs with one hub are compared, the class with the most shared signatures, so a
+group of n near copies costs about n comparisons.
+
+Classes that share a signature but are not connected by then are signed again with the finest
+partition, one shingle per part, in the order of rarity among them: similar sets agree on one of
+the few rarest shingles of each (how few depends on both sizes, so finer size bands are
+used), and a common passage is never among these unless it is nearly all of a text. Groups of
+that partition are compared pair by pair, as far as ranks allow a pair to be similar; large
+ones in stars first, whose hubs leave their groups. No link between different components is
+lost.
 """
 
 from __future__ import annotations
@@ -27,19 +35,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F, Window
+from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from salesloom.llm.common import Remembered, binaries, in_chunks, mix64, stage
 from salesloom.llm.components import components
 
-CHUNK_BYTES = 8_000_000
-# Rounds of star comparisons before what is left is compared pair by pair.
-STAR_ROUNDS = 6
+CHUNK_BYTES = 2_000_000
+# Groups by rare shingles of up to so many members are compared pair by pair, where their ranks
+# allow it; larger ones first in so many rounds of stars.
+PAIRED, STAR_ROUNDS = 4096, 4
 # Candidate ids are dealt into this many buckets for the filter that precedes the shuffle of
 # texts; a table of all buckets is the largest thing that is ever broadcast.
 FILTER_BUCKETS = 1 << 20
 
-_word_hashes = Remembered(xxhash.xxh64_intdigest)
+_word_hashes = Remembered(xxhash.xxh64_intdigest, 1 << 18)
 
 
 def _multipliers(n: int) -> np.ndarray:
@@ -103,14 +112,15 @@ class Bands:
             band += 1
 
 
-def signatures(shingles: np.ndarray, bands: Bands) -> np.ndarray:
-    """The set's signatures in all its bands."""
-    found = []
+def signatures(shingles: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
+    """The set's signatures in all its bands; for each its band and how many of the band's
+    signatures are spared, as band * 2 ** 32 + spared."""
+    found, tags = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for band, most, own in bands.of(len(shingles)):
         if most == 0:
             continue  # only equal sets can be partners, and they are one class already
         few = most <= bands.FEW
-        parts = most + 2 if few else most + most // 4 + 2
+        parts = most + 2 if few else most + most // 8 + 2
         seed = mix64(np.array([band + 1], np.uint64))[0]
         value = mix64(shingles ^ seed)
         part = ((value >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
@@ -124,17 +134,20 @@ def signatures(shingles: np.ndarray, bands: Bands) -> np.ndarray:
             low.astype(np.uint64) + (high.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
             + place + seed
         )
-        strong = np.count_nonzero(filled) > own
+        spared = np.count_nonzero(filled) - own - 1
+        strong = spared >= 0
         if few:
+            spared = 0
             one, two = np.triu_indices(parts, 1)
             if strong:
                 held = (filled[one] + filled[two]) > 0
                 one, two = one[held], two[held]
             content = mix64(content[one] + content[two] * np.uint64(0xE7037ED1A0B428DB))
         elif strong:
-            content = content[np.flatnonzero(filled)[: own + 1]]
+            content = content[np.flatnonzero(filled)]
         found.append(content)
-    return np.concatenate(found) if found else np.zeros(0, np.uint64)
+        tags.append(np.full(len(content), (band << 32) + max(spared, 0)))
+    return np.concatenate(found), np.concatenate(tags)
 
 
 def _described(words: int, num: int, den: int):
@@ -142,35 +155,41 @@ def _described(words: int, num: int, den: int):
         bands = Bands(num, den)
         seen: set[bytes] = set()  # a class emits its signatures once per task
         for chunk in in_chunks(batches, "text", CHUNK_BYTES):
-            sizes, digests, signed = [], [], []
+            sizes, digests, signed, tagged = [], [], [], []
             for own in shingle_sets(binaries(chunk.column("text")), words):
                 digest = xxhash.xxh128_digest(own.tobytes())
                 sizes.append(len(own))
                 digests.append(digest)
                 if len(own) and digest not in seen:
                     seen.add(digest)
-                    signed.append(signatures(own, bands).view(np.int64))
+                    found, tags = signatures(own, bands)
+                    signed.append(found.view(np.int64))
+                    tagged.append(tags)
                 else:
                     signed.append(None)
+                    tagged.append(None)
             yield pa.RecordBatch.from_arrays(
                 [
                     chunk.column("doc_id"), pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()), pa.array(signed, pa.list_(pa.int64())),
+                    pa.array(tagged, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "digest", "signatures"],
+                ["doc_id", "n_shingles", "digest", "signatures", "tags"],
             )
 
     return describe
 
 
 def _sets_of(words: int):
+    """The sets of texts that belong to the class they were read for."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in in_chunks(batches, "text", CHUNK_BYTES):
-            sets = shingle_sets(binaries(chunk.column("text")), words)
+            sets = [s.tobytes() for s in shingle_sets(binaries(chunk.column("text")), words)]
+            wanted = chunk.column("digest").to_pylist()
+            own = [xxhash.xxh128_digest(s) == d for s, d in zip(sets, wanted)]
             yield pa.RecordBatch.from_arrays(
-                [chunk.column("digest"), pa.array([s.tobytes() for s in sets], pa.binary())],
-                ["digest", "shingles"],
-            )
+                [chunk.column("digest"), pa.array(sets, pa.binary())], ["digest", "shingles"]
+            ).filter(pa.array(own, pa.bool_()))
 
     return read
 
@@ -179,8 +198,9 @@ def _similar(num: int, den: int):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = []
-            for x, y in zip(batch.column("su").to_pylist(), batch.column("sv").to_pylist()):
-                a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(batch.column("su"), batch.column("sv")):
+                a = np.frombuffer(x.as_buffer(), np.uint64)
+                b = np.frombuffer(y.as_buffer(), np.uint64)
                 if len(a) > len(b):
                     a, b = b, a
                 at = np.searchsorted(b, a)
@@ -206,16 +226,26 @@ def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def _shared(described: DataFrame) -> DataFrame:
-    """(signature, digest, size) of signatures that at least two classes share."""
+    """(signature, digest, size) of signatures that two classes share and neither spares."""
     alike = Window.partitionBy("signature").orderBy("digest")
     before, after = F.lag("digest").over(alike), F.lead("digest").over(alike)
-    return (
-        described.where(F.col("signatures").isNotNull())
-        .select("digest", F.col("n_shingles").alias("size"), F.explode("signatures").alias("signature"))
-        .select("signature", "digest", "size", before.alias("before"), after.alias("after"))
+    holders = F.count(F.lit(1)).over(Window.partitionBy("signature"))
+    rows = described.where(F.col("signatures").isNotNull()).select(
+        "digest", F.col("n_shingles").alias("size"), F.inline(F.arrays_zip("signatures", "tags"))
+    )
+    shared = (
+        rows.select("signatures", "digest", "size", "tags").toDF("signature", "digest", "size", "tag")
+        .select("*", before.alias("before"), after.alias("after"), holders.alias("holders"))
         .where("before <> digest or after <> digest")
-        .select("signature", "digest", "size").distinct()
+        .select("signature", "digest", "size", "tag", "holders").distinct()
+    )
+    commonest = Window.partitionBy("digest", "tag").orderBy(
+        F.col("holders").desc(), F.col("signature").desc()
     )
+    spared = F.col("tag").bitwiseAND((1 << 32) - 1)
+    return shared.withColumn("nth", F.row_number().over(commonest)).where(
+        F.col("nth") > spared
+    ).select("signature", "digest", "size")
 
 
 def near_duplicates(
@@ -236,7 +266,7 @@ def near_duplicates(
     )
     described = stage(rows.mapInArrow(
         _described(words, num, den),
-        "doc_id long, n_shingles long, digest binary, signatures array<bigint>",
+        "doc_id long, n_shingles long, digest binary, signatures array<bigint>, tags array<bigint>",
     ), "shingles")
     classes = described.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("least"))
 
@@ -280,60 +310,135 @@ def _candidate_sets(
     texts = near.join(
         source.select(F.col("least").alias("doc_id"), F.col("digest").alias("wanted")), "doc_id"
     ).select(F.col("wanted").alias("digest"), "text")
-    # An id that stands for several texts can bring a text of another class: checked here.
+    # An id that stands for several texts can bring a text of another class: dropped there.
     found = texts.mapInArrow(_sets_of(words), "digest binary, shingles binary")
-    checked = found.mapInArrow(_own_sets, "digest binary, shingles binary")
-    return checked.groupBy("digest").agg(F.first("shingles").alias("shingles"))
+    repeated = described.groupBy("doc_id", "digest").count().where("count > 1")
+    if repeated.take(1):  # else each class is read once
+        return found.groupBy("digest").agg(F.first("shingles").alias("shingles"))
+    return found
+
+
+GROUP = ["signature", "band"]
+
+
+def _open(groups: DataFrame, roots: DataFrame) -> DataFrame:
+    """Groups in which two components meet, one of them at home in the group's size band; a
+    member's own digest is its root if it has no link."""
+    placed = groups.drop("root").join(
+        roots.select(F.col("node").alias("digest"), "root"), "digest", "left"
+    ).withColumn("root", F.coalesce("root", "digest"))
+    apart = placed.groupBy(*GROUP).agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.max("home").alias("home")
+    ).where("low <> high and home").select(*GROUP)
+    return placed.join(apart, GROUP, "left_semi")
+
+
+def _fit(one: str, other: str, num: int, den: int) -> Column:
+    """Can two sets with this shared shingle be similar, by sizes and by its ranks?"""
+    a, b = F.col(f"{one}.size"), F.col(f"{other}.size")
+    shared = F.ceil((a + b) * num / (num + den))
+    return (
+        (F.least(a, b) * den >= F.greatest(a, b) * num) & (F.col(f"{one}.home") | F.col(f"{other}.home"))
+        & (F.col(f"{one}.rank") <= a - shared + 1) & (F.col(f"{other}.rank") <= b - shared + 1)
+    )
+
+
+def _stars(groups: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs of each group's hub with the members it may be similar to, and what remains of the
+    groups when the hubs have left."""
+    weights = groups.groupBy("digest").agg(F.count(F.lit(1)).alias("weight"))
+    weighed = groups.join(weights, "digest")
+    hubs = weighed.groupBy(*GROUP).agg(
+        F.max(F.struct("home", "weight", "digest", "size", "rank", "root")).alias("hub")
+    )
+    rays = weighed.drop("weight").alias("x").join(hubs.alias("h"), GROUP).where("digest <> hub.digest")
+    pairs = rays.where("x.root <> hub.root").where(_fit("x", "hub", num, den)).select(
+        F.greatest("digest", "hub.digest").alias("u"), F.least("digest", "hub.digest").alias("v")
+    ).distinct()
+    return pairs, rays.select("x.*", *GROUP).select(*groups.columns)
 
 
-def _own_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        own = [
-            xxhash.xxh128_digest(s) == d
-            for d, s in zip(batch.column("digest").to_pylist(), batch.column("shingles").to_pylist())
-        ]
-        yield batch.filter(pa.array(own, pa.bool_()))
+        sets = [np.frombuffer(s.as_buffer(), np.int64) for s in batch.column("shingles")]
+        sizes = np.array([len(s) for s in sets])
+        for first in range(0, len(sets), 64):
+            some = slice(first, first + 64)
+            which = np.repeat(np.arange(len(sets))[some], sizes[some])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(sets[some])), batch.column("digest").take(pa.array(which)),
+                    pa.array(np.repeat(sizes[some], sizes[some])),
+                ],
+                ["signature", "digest", "size"],
+            )
+
+
+# Ratio of the size bands of the finest partition.
+FINE = 1.03
+
+
+def _rarest(open_: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Groups by single shingles and size band.
+
+    Two sets with an overlap of i have a shared shingle among the size - i + 1 rarest of each. A
+    set is a member of its own band and visits each lower one in which it may have a partner,
+    with as many shingles as the smallest partner of that band asks for.
+    """
+    rows = sets.join(open_, "digest").mapInArrow(
+        _exploded, "signature long, digest binary, size long"
+    ).withColumn("holders", F.count(F.lit(1)).over(Window.partitionBy("signature")))
+    # Shingles that one set holds are the rarest: their number is known without them.
+    shared = rows.where("holders > 1")
+    size, own = F.col("size"), Window.partitionBy("digest")
+    alone = size - F.count(F.lit(1)).over(own)
+    rank = alone + F.row_number().over(own.orderBy("holders", "signature"))
+    smallest = F.ceil(size * num / den)
+
+    def band(n: Column) -> Column:
+        return F.floor(F.log(n.cast("double")) / F.log(F.lit(FINE)) + 1e-9)
+
+    partner = F.greatest(F.floor(F.pow(F.lit(FINE), F.col("band")) - 1e-6), smallest)
+    overlap = F.ceil((size + partner) * num / (num + den))
+    return shared.withColumn("rank", rank.cast("long")).where(
+        F.col("rank") <= size - smallest + 1
+    ).select(
+        "signature", "digest", "size", "rank", F.explode(F.sequence(band(smallest), band(size))).alias("band")
+    ).where(F.col("rank") <= size - overlap + 1).withColumn("home", F.col("band") == band(size))
 
 
 def _links(members: DataFrame, sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """Edges that connect all that similar pairs connect, and the components they make."""
-    weights = members.groupBy("digest").agg(F.count(F.lit(1)).alias("weight"))
-    open_ = members.join(weights, "digest")
-    edges = roots = None
+    pairs, rest = _stars(members.withColumns({
+        "root": F.col("digest"), "band": F.lit(0).cast("long"), "rank": F.lit(0).cast("long"),
+        "home": F.lit(True),
+    }), num, den)
+    edges = stage(_linked(pairs, sets, num, den), "links")
+    roots = components(edges)
+    open_ = stage(_open(rest, roots).select("digest").distinct(), "open")
+    if not open_.take(1):
+        return edges, roots
+    groups = stage(_open(_rarest(open_, sets, num, den), roots), "rarest")
     for step in range(STAR_ROUNDS + 1):
-        if step < STAR_ROUNDS:
-            hubs = open_.groupBy("signature").agg(F.max(F.struct("weight", "digest")).alias("hub"))
-            starred = open_.join(hubs, "signature").withColumn("hub", F.col("hub.digest"))
-            stars = starred.where("digest <> hub")
-            if step:  # members already connected with the hub need no comparison
-                reach = starred.where("digest = hub").select("signature", F.col("root").alias("hub_root"))
-                stars = stars.join(reach, "signature").where("root <> hub_root")
-            pairs = stars.select(
-                F.greatest("digest", "hub").alias("u"), F.least("digest", "hub").alias("v")
-            ).distinct()
-            rest = starred.where("digest <> hub").drop("hub")
-        else:  # the exact way for what is left: every open pair of different components
-            a, b = open_.alias("a"), open_.alias("b")
-            pairs = a.join(b, "signature").where(
-                "a.digest > b.digest and a.root <> b.root"
-            ).where(
-                F.least("a.size", "b.size") * F.lit(den) >= F.greatest("a.size", "b.size") * F.lit(num)
-            ).select(F.col("a.digest").alias("u"), F.col("b.digest").alias("v")).distinct()
-            rest = None
+        if not groups.take(1):
+            break
+        large = groups.groupBy(*GROUP).count().where(F.col("count") > PAIRED)
+        rest = None
+        if step < STAR_ROUNDS and large.take(1):
+            pairs, rest = _stars(groups, num, den)
+        else:  # exact: every open pair of different components
+            a, b = groups.alias("a"), groups.alias("b")
+            pairs = a.join(b, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in GROUP] + [
+                F.col("a.digest") > F.col("b.digest"), F.col("a.root") != F.col("b.root"),
+                _fit("a", "b", num, den),
+            ]).select(F.col("a.digest").alias("u"), F.col("b.digest").alias("v")).distinct()
         new = stage(_linked(pairs, sets, num, den), "links")
-        edges = new if edges is None else edges.union(new)
-        roots = components(edges)
+        if new.take(1):
+            edges = edges.union(new)
+            roots = components(edges)
         if rest is None:
             break
-        placed = rest.drop("root").join(
-            roots.select(F.col("node").alias("digest"), "root"), "digest", "left"
-        ).withColumn("root", F.coalesce("root", "digest"))
-        apart = placed.groupBy("signature").agg(
-            F.min("root").alias("low"), F.max("root").alias("high")
-        ).where("low <> high").select("signature")
-        open_ = stage(placed.join(apart, "signature", "left_semi"), "open")
-        if not open_.take(1):
-            break
+        groups = stage(_open(rest, roots), "rarest")
     return edges, roots
 
 
