@@ -1,17 +1,15 @@
 """One SQL text per registered query, over the given tables.
 
-Where the Spark plans compute ids from rows, reduce before joining or pick winners
+The data model comes from ``layout``, not from the package. Where the Spark plans compute ids from rows, reduce before joining or pick winners
 with ``min(struct)``, the SQL joins every row to every dimension on the business key
 and picks winners with ``row_number``.
 """
 
 from __future__ import annotations
 
-from salesloom import schema
-from salesloom.plans import quality, snowflake
-from salesloom.sources.retail import STAGING_EXPRESSIONS
+from oracles import layout
 
-FEED = """
+JOINED = """
 SELECT {columns}
 FROM lineitem l
 JOIN orders o ON l.l_orderkey = o.o_orderkey
@@ -20,7 +18,15 @@ JOIN nation cn ON c.c_nationkey = cn.n_nationkey
 JOIN part p ON l.l_partkey = p.p_partkey
 JOIN supplier s ON l.l_suppkey = s.s_suppkey
 JOIN nation sn ON s.s_nationkey = sn.n_nationkey
-""".format(columns=", ".join(f"{e} AS {c}" for c, e in STAGING_EXPRESSIONS.items()))
+"""
+
+
+def feed_sql(changes: dict[str, str]) -> str:
+    columns = {**layout.FEED, **changes}
+    return JOINED.format(columns=", ".join(f"{e} AS {c}" for c, e in columns.items()))
+
+
+FEED, BROKEN_FEED = feed_sql({}), feed_sql(layout.BROKEN)
 
 
 # --- expressions --------------------------------------------------------------
@@ -40,9 +46,13 @@ def complete(*columns: str) -> str:
 
 
 def loose_int(c: str) -> str:
+    """Blanks and control characters around are ignored, a fraction is cut off, and a missing
+    digit counts as 0."""
+    blank = r"[\x00-\x20\x7F]*"
+    whole = rf"regexp_extract({c}, '^{blank}[+]?(-?[0-9]*)', 1)"
     return (
-        rf"CASE WHEN regexp_full_match({c}, '[+-]?[0-9]+([.][0-9]*)?') "
-        rf"THEN TRY_CAST(regexp_extract({c}, '^[+-]?[0-9]+') AS INTEGER) END"
+        rf"CASE WHEN regexp_full_match({c}, '{blank}([+-]?[0-9]+([.][0-9]*)?|[+-]?[.][0-9]*){blank}') "
+        rf"THEN TRY_CAST(CASE WHEN {whole} IN ('', '-') THEN '0' ELSE {whole} END AS INTEGER) END"
     )
 
 
@@ -72,8 +82,32 @@ def firm_date(c: str) -> str:
     return f"CASE WHEN length({c}) > 0 THEN CAST(STRPTIME({c}, '%m/%d/%Y') AS DATE) END"
 
 
+def wide_int(c: str) -> str:
+    """Any width, for audits."""
+    return f"CASE WHEN regexp_full_match({c}, '[0-9]+') THEN TRY_CAST({c} AS DECIMAL(38,0)) END"
+
+
+def wide_decimal(c: str) -> str:
+    return (
+        f"CASE WHEN regexp_full_match({c}, '[0-9]+([.][0-9]+)?') "
+        f"THEN TRY_CAST({c} AS DECIMAL(38,18)) END"
+    )
+
+
+BEYOND = "[0-9]+[.][0-9]{18}[0-9]*[1-9][0-9]*"
+
+
+def beyond(c: str) -> str:
+    """Significant digits behind the eighteenth decimal place, '' if none."""
+    return (
+        f"CASE WHEN regexp_full_match(COALESCE({c}, ''), '{BEYOND}') "
+        f"THEN rtrim(split_part({c}, '.', 2)[19:], '0') ELSE '' END"
+    )
+
+
 LOOSE = {"int": loose_int, "double": loose_double, "date": loose_date}
 FIRM = {"int": firm_int, "decimal": firm_decimal, "date": firm_date}
+WIDE = {"int": wide_int, "decimal": wide_decimal, "date": loose_date}
 
 
 def calendar(date: str) -> str:
@@ -95,8 +129,13 @@ def numbered(*columns: str) -> str:
     return f"row_number() OVER (ORDER BY {key(*columns)})"
 
 
-def money(c: str) -> str:
-    return f"CAST(SUM(CAST({c} AS DECIMAL(18,2))) AS DOUBLE)"
+def money(c: str, where: str = "") -> str:
+    """The exact sum of doubles, rounded once: they are added in the digits they print."""
+    return f"CAST(CAST(SUM(CAST(CAST({c} AS VARCHAR) AS DECIMAL(28,10))) AS VARCHAR) AS DOUBLE)"
+
+
+def mean(c: str) -> str:
+    return f"{money(c)} / COUNT({c})"
 
 
 def with_(tables: dict[str, str], select: str) -> str:
@@ -109,23 +148,25 @@ def with_(tables: dict[str, str], select: str) -> str:
 def star_tables(dense: bool = False) -> dict[str, str]:
     make = numbered if dense else key
     tables = {"stg": FEED}
-    for e in schema.STAR_ENTITIES:
+    for e in layout.STAR_DIMENSIONS:
         columns = [
-            f"{LOOSE[e.parsed[c]](c)} AS {c}" if c in e.parsed
-            else f"{make(*e.key)} AS {c}" if c == e.id else c
-            for c in e.columns
+            f"{LOOSE[e['parsed'][c]](c)} AS {c}" if c in e["parsed"]
+            else f"{make(*e['key'])} AS {c}" if c == e["id"] else c
+            for c in e["columns"]
         ]
-        tables[e.table] = f"SELECT {', '.join(columns)} FROM ({winner('stg', e.key, e.payload)})"
+        tables[e["table"]] = (
+            f"SELECT {', '.join(columns)} FROM ({winner('stg', e['key'], e['payload'])})"
+        )
     tables["dim_date"] = (
         f"SELECT full_date, {make('full_date')} AS date_id, {calendar('full_date')} "
         f"FROM (SELECT DISTINCT {loose_date('sale_date')} AS full_date FROM stg)"
     )
     joins = " ".join(
-        f"LEFT JOIN {e.table} ON "
-        + " AND ".join(f"r.{c} = {e.table}.{c}" for c in e.key)
-        for e in schema.STAR_ENTITIES
+        f"LEFT JOIN {e['table']} ON "
+        + " AND ".join(f"r.{c} = {e['table']}.{c}" for c in e["key"])
+        for e in layout.STAR_DIMENSIONS
     )
-    ids = ", ".join(e.id for e in schema.STAR_ENTITIES)
+    ids = ", ".join(e["id"] for e in layout.STAR_DIMENSIONS)
     tables["fact_sales"] = (
         f"SELECT {ids}, date_id, {loose_int('r.sale_quantity')} AS sale_quantity, "
         f"{loose_double('r.sale_total_price')} AS sale_total_price FROM stg r {joins} "
@@ -134,21 +175,20 @@ def star_tables(dense: bool = False) -> dict[str, str]:
     return tables
 
 
-CHECKS = """round({sum}, 2) AS {total}, COUNT(*) AS {n},
-round(AVG(CAST(sale_total_price AS DECIMAL(18,2))), 6) AS {mean}"""
-
-
-def checks(total: str, n: str, mean: str) -> str:
-    return CHECKS.format(sum=money("sale_total_price"), total=total, n=n, mean=mean)
+def checks(total: str, n: str, average: str) -> str:
+    return (
+        f"{money('sale_total_price')} AS {total}, COUNT(*) AS {n}, "
+        f"{mean('sale_total_price')} AS {average}"
+    )
 
 
 def mart_tables() -> dict[str, str]:
     tables = star_tables()
-    revenue = f"round({money('sale_total_price')}, 2) AS total_revenue"
+    revenue = f"{money('sale_total_price')} AS total_revenue"
     quantity = "CAST(SUM(sale_quantity) AS BIGINT) AS total_quantity_sold"
-    rating = "round(AVG(product_rating), 6) AS avg_rating"
+    rating = f"{mean('product_rating')} AS avg_rating"
     reviews = "CAST(SUM(product_reviews) AS BIGINT) AS total_reviews"
-    price = "round(AVG(product_price), 6) AS avg_product_price"
+    price = f"{mean('product_price')} AS avg_product_price"
     by_product = "FROM fact_sales LEFT JOIN dim_product USING (product_id) GROUP BY ALL"
     tables["mart_product_sales"] = (
         f"SELECT product_name, product_category, {quantity}, {revenue}, {rating}, {reviews} "
@@ -202,7 +242,7 @@ def report_queries() -> dict[str, str]:
         "revenue_by_category": (
             "SELECT product_category, COUNT(*) AS products, "
             "CAST(SUM(total_quantity_sold) AS BIGINT) AS total_quantity_sold, "
-            f"round({money('total_revenue')}, 2) AS total_revenue "
+            f"{money('total_revenue')} AS total_revenue "
             f"FROM mart_product_sales WHERE {product} GROUP BY product_category"
         ),
         "avg_rating_by_product": (
@@ -216,7 +256,7 @@ def report_queries() -> dict[str, str]:
         "customers_by_country": (
             "SELECT customer_country, COUNT(*) AS customers, "
             "CAST(SUM(num_purchases) AS BIGINT) AS num_purchases, "
-            f"round({money('total_spent')}, 2) AS total_spent "
+            f"{money('total_spent')} AS total_spent "
             "FROM mart_customer_sales WHERE customer_name <> '' GROUP BY customer_country"
         ),
         "monthly_trend": (
@@ -242,14 +282,14 @@ def report_queries() -> dict[str, str]:
         ),
         "suppliers_by_country": (
             "SELECT supplier_country, COUNT(DISTINCT supplier_id) AS suppliers, "
-            f"round({money('sale_total_price')}, 2) AS total_revenue, "
-            "round(AVG(product_price), 6) AS avg_product_price, "
+            f"{money('sale_total_price')} AS total_revenue, "
+            f"{mean('product_price')} AS avg_product_price, "
             "COUNT(*) AS num_products_sold "
             "FROM fact_sales JOIN dim_supplier USING (supplier_id) "
             "LEFT JOIN dim_product USING (product_id) GROUP BY supplier_country"
         ),
         "rating_sales_corr": (
-            "SELECT round(corr(avg_rating, total_quantity_sold), 6) AS rating_sales_corr "
+            "SELECT round(corr(avg_rating, total_quantity_sold), 9) AS rating_sales_corr "
             "FROM mart_product_quality"
         ),
         "most_reviewed": top(
@@ -265,74 +305,89 @@ def emptied(c: str) -> str:
     return f"COALESCE({c}, '')"
 
 
-def snowflake_tables(dense: bool = False) -> dict[str, str]:
-    """Tables ``w_*`` hold values before declared types, ``d_*`` and ``f_sale`` after."""
+def snowflake_tables(dense: bool = False, feed: str = FEED, audit: bool = False) -> dict[str, str]:
+    """Tables ``w_*`` hold values before declared types, ``d_*`` and ``f_sale`` after. For an audit
+    what a type cannot hold is NULL after it, where it is an error otherwise."""
     make = numbered if dense else key
-    tables = {"stg": FEED}
-
-    for sub in snowflake.SUB_DIMENSIONS:
-        distinct = ", ".join(f"{emptied(c)} AS {n}" for n, c in sub.columns.items())
-        tables[f"w_{sub.table}"] = (
-            f"SELECT {make(*sub.columns)} AS {sub.id}, * FROM (SELECT DISTINCT {distinct} FROM stg)"
+    read = WIDE if audit else FIRM
+    tables = {"stg": feed}
+    subs = {table: (id_, columns) for table, id_, columns in layout.SUB_DIMENSIONS}
+
+    for table, (id_, columns) in subs.items():
+        distinct = ", ".join(f"{emptied(c)} AS {n}" for n, c in columns.items())
+        tables[f"w_{table}"] = (
+            f"SELECT {make(*columns)} AS {id_}, * FROM (SELECT DISTINCT {distinct} FROM stg)"
         )
     details = ", ".join(
-        f"{emptied(c) if kind == 'text' else FIRM[kind](c)} AS {n}"
-        for n, (c, kind) in snowflake.DETAILS.items()
+        f"{emptied(c) if kind == 'text' else read[kind](c)} AS {n}"
+        for n, (c, kind) in layout.DETAILS.items()
     )
+    digits = [beyond(c) for c, kind in layout.DETAILS.values() if kind == "decimal"]
+    more = f"CASE WHEN concat({', '.join(digits)}) <> '' THEN concat_ws('|', {', '.join(digits)}) ELSE '' END"
+    plain, longer = key(*layout.DETAILS), key(*layout.DETAILS, "beyond")
+    by = f"CASE WHEN beyond = '' THEN {plain} ELSE {longer} END"
+    by = f"row_number() OVER (ORDER BY {by})" if dense else by
     tables["w_d_product_details"] = (
-        f"SELECT {make(*snowflake.DETAILS)} AS details_id, * "
-        f"FROM (SELECT DISTINCT {details} FROM stg)"
+        f"SELECT {by} AS details_id, * FROM (SELECT DISTINCT {details}, {more} AS beyond FROM stg)"
     )
     tables["w_d_date"] = (
         f"SELECT {make('full_date')} AS date_id, full_date, {calendar('full_date')} FROM "
-        f"(SELECT DISTINCT {firm_date('sale_date')} AS full_date FROM stg WHERE sale_date <> '')"
+        f"(SELECT DISTINCT {read['date']('sale_date')} AS full_date FROM stg WHERE sale_date <> '') "
+        "WHERE full_date IS NOT NULL"
     )
-    for name in [s.table for s in snowflake.SUB_DIMENSIONS] + ["d_product_details", "d_date"]:
-        tables[name] = typed(name)
+    for name in [*subs, "d_product_details", "d_date"]:
+        tables[name] = typed(name, audit=audit)
 
-    for d in snowflake.DIMENSIONS:
-        e = d.entity
+    for d in layout.DIMENSIONS:
         source = ", ".join(
-            f"{emptied(c)} AS {c}" if c in d.emptied else c for c in e.key + e.payload
+            f"{emptied(c)} AS {c}" if c in d["emptied"] else c for c in d["key"] + d["payload"]
         )
         values = [
-            f"{firm_int('w.' + c) if c in e.parsed else 'w.' + c} AS {n}"
-            for n, c in d.columns.items()
+            f"{read['int']('w.' + c) if c in d['parsed'] else 'w.' + c} AS {n}"
+            for n, c in d["columns"].items()
         ]
-        subs = [f"{s.table}.{s.id}" for s in d.points_to]
+        ids = [f"{s}.{subs[s][0]}" for s in d["points_to"]]
         joins = " ".join(
-            f"JOIN {s.table} ON "
-            + " AND ".join(f"{s.table}.{n} = w.{c}" for n, c in s.columns.items())
-            for s in d.points_to
+            f"JOIN {s} ON " + " AND ".join(f"{s}.{n} = w.{c}" for n, c in subs[s][1].items())
+            for s in d["points_to"]
         )
-        tables[f"w_{d.table}"] = (
-            f"SELECT {make(*['w.' + c for c in e.key])} AS {e.id}, {', '.join(values + subs)} "
-            f"FROM ({winner(f'(SELECT {source} FROM stg)', e.key, e.payload)}) w {joins}"
+        tables[f"w_{d['table']}"] = (
+            f"SELECT {make(*['w.' + c for c in d['key']])} AS {d['id']}, {', '.join(values + ids)} "
+            f"FROM ({winner(f'(SELECT {source} FROM stg)', d['key'], d['payload'])}) w {joins}"
         )
-        tables[d.table] = typed(d.table)
+        tables[d["table"]] = typed(d["table"], audit=audit)
 
-    p = schema.PRODUCT
+    p = next(e for e in layout.STAR_DIMENSIONS if e["table"] == "dim_product")
     on_details = " AND ".join(
         f"x.{n} = {emptied('w.' + c)}" if kind == "text"
-        else f"x.{n} IS NOT DISTINCT FROM ({FIRM[kind]('w.' + c)})"
-        for n, (c, kind) in snowflake.DETAILS.items()
+        else f"x.{n} IS NOT DISTINCT FROM ({read[kind]('w.' + c)})"
+        for n, (c, kind) in layout.DETAILS.items()
     )
+    for c, kind in layout.DETAILS.values():
+        if kind == "decimal":  # digits that no stored number has
+            on_details += f" AND {beyond('w.' + c)} = ''"
     tables["w_d_product"] = (
         f"SELECT {make('w.product_name', 'w.product_category', 'x.details_id')} AS product_id, "
-        f"w.product_name AS name, {firm_decimal('w.product_price')} AS price, "
-        f"{firm_int('w.product_quantity')} AS quantity, g.category_id, x.details_id "
-        f"FROM ({winner('stg', p.key, p.payload)}) w "
+        f"w.product_name AS name, {read['decimal']('w.product_price')} AS price, "
+        f"{read['int']('w.product_quantity')} AS quantity, g.category_id, x.details_id "
+        f"FROM ({winner('stg', p['key'], p['payload'])}) w "
         f"JOIN d_product_category g ON g.category_name = {emptied('w.product_category')} "
         f"JOIN d_product_details x ON {on_details}"
     )
-    tables["d_product"] = typed("d_product")
+    tables["d_product"] = typed("d_product", audit=audit)
 
     named = " ".join(
         f"JOIN {t} ON " + " AND ".join(f"{t}.{n} = r.{c}" for c, n in on.items())
         for t, on in {
-            "d_customer": dict(zip(schema.CUSTOMER.key, ("first_name", "last_name", "email"))),
-            "d_seller": dict(zip(schema.SELLER.key, ("first_name", "last_name", "email"))),
-            "d_supplier": dict(zip(schema.SUPPLIER.key, ("name", "email"))),
+            "d_customer": {
+                "customer_first_name": "first_name", "customer_last_name": "last_name",
+                "customer_email": "email",
+            },
+            "d_seller": {
+                "seller_first_name": "first_name", "seller_last_name": "last_name",
+                "seller_email": "email",
+            },
+            "d_supplier": {"supplier_name": "name", "supplier_email": "email"},
         }.items()
     )
     tables["product_of_sale"] = (
@@ -344,8 +399,8 @@ def snowflake_tables(dense: bool = False) -> dict[str, str]:
         "JOIN d_store_location g USING (location_id)"
     )
     tables["w_f_sale"] = (
-        f"SELECT {firm_int('r.sale_quantity')} AS sale_quantity, "
-        f"{firm_decimal('r.sale_total_price')} AS sale_total_price, "
+        f"SELECT {read['int']('r.sale_quantity')} AS sale_quantity, "
+        f"{read['decimal']('r.sale_total_price')} AS sale_total_price, "
         "customer_id, seller_id, product_id, store_id, supplier_id, date_id "
         f"FROM stg r {named} "
         f"JOIN d_date ON d_date.full_date = {loose_date('r.sale_date')} "
@@ -355,18 +410,22 @@ def snowflake_tables(dense: bool = False) -> dict[str, str]:
         f"AND ss.city = {emptied('r.store_city')} AND ss.state = {emptied('r.store_state')} "
         f"AND ss.country = {emptied('r.store_country')}"
     )
-    tables["t_f_sale"] = typed("f_sale", skip=("sale_id",))
-    measured = [c for c in schema.SNOWFLAKE_COLUMNS["f_sale"] if c != "sale_id"]
+    tables["t_f_sale"] = typed("f_sale", skip=("sale_id",), audit=audit)
+    measured = [c for c in layout.SNOWFLAKE_COLUMNS["f_sale"] if c != "sale_id"]
     tables["f_sale"] = f"SELECT {numbered(*measured)} AS sale_id, * FROM t_f_sale"
     return tables
 
 
-def typed(table: str, skip=()) -> str:
+def typed(table: str, skip=(), audit: bool = False) -> str:
     """The declared columns of ``w_table`` in their declared types."""
-    columns = [
-        c if d == "key" or d == "string" or d.startswith("varchar") else f"CAST({c} AS {d}) AS {c}"
-        for c, d in schema.SNOWFLAKE_COLUMNS[table].items() if c not in skip
-    ]
+    def stored(c: str, d: str) -> str:
+        if d.startswith("varchar") and audit:
+            return f"CASE WHEN length(rtrim({c})) <= {d[8:-1]} THEN {c}[1:{d[8:-1]}] END AS {c}"
+        if d in ("key", "string") or d.startswith("varchar"):
+            return c
+        return f"{'TRY_CAST' if audit else 'CAST'}({c} AS {d}) AS {c}"
+
+    columns = [stored(c, d) for c, d in layout.SNOWFLAKE_COLUMNS[table].items() if c not in skip]
     return f"SELECT {', '.join(columns)} FROM w_{table}"
 
 
@@ -407,7 +466,7 @@ def orphans(table: str, column: str, parent: str, parent_key: str) -> str:
 
 def contract() -> str:
     lines = []
-    for table, columns in schema.SNOWFLAKE_COLUMNS.items():
+    for table, columns in layout.SNOWFLAKE_COLUMNS.items():
         for c, declared in columns.items():
             if declared == "key":
                 continue
@@ -476,8 +535,8 @@ def parse_failures() -> str:
             unreadable = f"{filled} AND ({LOOSE[kind](c)}) IS NULL"
             if kind == "double":
                 inexact = (
-                    f"{loose_double(c)} <> CAST(TRY_CAST({loose_double(c)} AS DECIMAL(28,6)) "
-                    "AS DOUBLE)"
+                    f"{loose_double(c)} IS DISTINCT FROM CAST(TRY_CAST(CAST({loose_double(c)} "
+                    f"AS VARCHAR) AS DECIMAL(28,10)) AS DOUBLE)"
                 )
         elif kind == "date":
             raises = f"{filled} AND ({loose_date(c)}) IS NULL"
@@ -487,6 +546,8 @@ def parse_failures() -> str:
             }[kind]
             unreadable = f"{filled} AND NOT regexp_full_match({c}, '{pattern}')"
             raises = f"regexp_full_match({c}, '{pattern}') AND TRY_CAST({c} AS {name}) IS NULL"
+            if kind == "decimal":
+                inexact = f"regexp_full_match({c}, '{BEYOND}')"
         return (
             f"SELECT '{rule}' AS rule, '{c}' AS column_name, '{kind}' AS read_as, "
             + ", ".join(
@@ -500,8 +561,8 @@ def parse_failures() -> str:
         )
 
     return union(
-        [line("strict", c, k) for c, k in quality.STRICT_COLUMNS.items()]
-        + [line("permissive", c, k) for c, k in quality.PERMISSIVE_COLUMNS.items()]
+        [line("strict", c, k) for c, k in layout.STRICT_COLUMNS.items()]
+        + [line("permissive", c, k) for c, k in layout.PERMISSIVE_COLUMNS.items()]
     )
 
 
@@ -514,14 +575,14 @@ def oracle_sql() -> dict[str, str]:
     snow, dense_snow = snowflake_tables(), snowflake_tables(dense=True)
     numbers = ("customer_age", "product_quantity", "product_reviews", "sale_quantity")
     amounts = ("product_price", "product_weight", "product_rating", "sale_total_price")
-    customer = schema.CUSTOMER
+    customer = ("customer_first_name", "customer_last_name", "customer_email")
 
     def parsed(rule_int, rule_number) -> str:
         columns = [f"{rule_int(c)} AS {c}" for c in numbers]
         columns += [f"{rule_number(c)} AS {c}" for c in amounts]
         return with_(feed, f"SELECT id, {', '.join(columns)} FROM stg")
 
-    fact_key = f"CASE WHEN {complete(*customer.key)} THEN {key(*customer.key)} END"
+    fact_key = f"CASE WHEN {complete(*customer)} THEN {key(*customer)} END"
     queries = {
         "stg_rows": with_(feed, "SELECT * FROM stg"),
         "parse_strict": parsed(firm_int, firm_decimal),
@@ -542,11 +603,11 @@ def oracle_sql() -> dict[str, str]:
         ),
         "hash_key": with_(
             feed,
-            f"SELECT DISTINCT {', '.join(customer.key)}, {key(*customer.key)} AS dimension_id, "
+            f"SELECT DISTINCT {', '.join(customer)}, {key(*customer)} AS dimension_id, "
             f"{fact_key} AS fact_id FROM stg",
         ),
         "dense_key": with_(
-            dense_star, f"SELECT customer_id, {', '.join(customer.key)} FROM dim_customer"
+            dense_star, f"SELECT customer_id, {', '.join(customer)} FROM dim_customer"
         ),
     }
     for name, table in {
@@ -560,33 +621,43 @@ def oracle_sql() -> dict[str, str]:
     }.items():
         queries[name] = with_(snow, f"SELECT * FROM {table}")
     queries["snow_fact_lookup"] = with_(dense_snow, "SELECT * FROM t_f_sale")
-    queries["snow_customer_lookup"] = with_(dense_snow, "SELECT * FROM d_customer")
+    for name in ("customer", "seller", "store", "supplier"):
+        queries[f"snow_{name}_lookup"] = with_(dense_snow, f"SELECT * FROM d_{name}")
     queries["snow_product_lookup"] = with_(dense_snow, "SELECT * FROM d_product")
-    for table in schema.STAR_TABLES:
+    for table in layout.STAR_TABLES:
         queries[table] = with_(star, f"SELECT * FROM {table}")
     queries["fact_sales_lookup"] = with_(dense_star, "SELECT * FROM fact_sales")
-    for table in schema.MART_TABLES:
+    for table in layout.MART_TABLES:
         queries[table] = with_(mart, f"SELECT * FROM {table}")
     for name, sql in report_queries().items():
         queries[name] = with_(mart, sql)
 
-    snow_names = {t: t for t in schema.SNOWFLAKE_COLUMNS}
+    snow_names = {t: t for t in layout.SNOWFLAKE_COLUMNS}
     queries["dq_duplicate_keys"] = with_(snow, union(
-        [duplicates(t, schema.primary_key(t)) for t in schema.SNOWFLAKE_COLUMNS]
-        + [duplicates(t, *k) for t, k in quality.BUSINESS_KEYS.items()]
+        [duplicates(t, layout.PRIMARY_KEYS[t]) for t in layout.SNOWFLAKE_COLUMNS]
+        + [duplicates(t, *k) for t, k in layout.BUSINESS_KEYS.items()]
     ))
     both = {**snow, **{t: sql for t, sql in star.items() if t != "stg"}}
     queries["dq_orphans"] = with_(both, union(
-        [orphans(t, c, p, schema.primary_key(p)) for t, c, p in schema.SNOWFLAKE_REFERENCES]
-        + [orphans("fact_sales", c, p, c) for c, p in schema.STAR_REFERENCES.items()]
+        [orphans(t, c, p, layout.PRIMARY_KEYS[p]) for t, c, p in layout.SNOWFLAKE_REFERENCES]
+        + [orphans("fact_sales", c, p, c) for c, p in layout.STAR_REFERENCES.items()]
     ))
     queries["dq_row_counts"] = with_(snow, counted({"raw_data": "stg", **snow_names}))
-    star_names = {t: t for t in schema.STAR_TABLES + schema.MART_TABLES}
+    star_names = {t: t for t in layout.STAR_TABLES + layout.MART_TABLES}
     queries["dq_row_counts_star"] = with_(mart, counted({"staging": "stg", **star_names}))
+    rows = {"numbered_stg": "SELECT *, row_number() OVER () AS row_no FROM stg"}
+    broken = snowflake_tables(feed=BROKEN_FEED, audit=True)
     queries["dq_contract"] = with_(snow, contract())
-    queries["dq_reconciliation"] = with_(
-        {**snow, "numbered_stg": "SELECT *, row_number() OVER () AS row_no FROM stg"},
-        reconciliation(),
+    queries["dq_contract_broken"] = with_(broken, contract())
+    queries["dq_reconciliation"] = with_({**snow, **rows}, reconciliation())
+    queries["dq_reconciliation_broken"] = with_({**broken, **rows}, reconciliation())
+    described = "product_description || chr(13) || chr(10) || 'second \"line\"' || chr(10) || id"
+    queries["io_csv"] = with_(
+        feed, f"SELECT * REPLACE ({described} AS product_description) FROM stg"
+    )
+    queries["io_overwrite"] = with_(
+        star, "SELECT *, (SELECT COUNT(*) FROM dim_date) AS written FROM dim_date"
     )
+    queries["io_append"] = with_(star, "SELECT * FROM dim_date")
     queries["dq_parse_failures"] = with_(feed, parse_failures())
     return queries

@@ -24,8 +24,10 @@ PERMISSIVE_INTEGER = (
 )
 INTEGER_PART = r"^[\x00-\x20\x7F]*([+-]?[0-9]*)"
 
-# Wide enough to compare parsed values before any rounding.
+# Wide enough to compare parsed values before any rounding, but for texts with
+# significant digits behind the eighteenth place: see ``beyond_scale``.
 EXACT_DECIMAL = "decimal(38,18)"
+BEYOND_SCALE = r"^[0-9]+\.[0-9]{18}([0-9]*[1-9])0*\z"
 
 
 def null_to_empty(text: Column) -> Column:
@@ -52,6 +54,24 @@ def strict_decimal(text: Column, type_name: str = EXACT_DECIMAL) -> Column:
     )
 
 
+def beyond_scale(text: Column) -> Column:
+    """The significant digits behind the eighteenth decimal place, '' if there are none.
+
+    A number with such digits equals no stored number; numbers that differ only in them
+    are different.
+    """
+    return F.coalesce(F.regexp_extract(text, BEYOND_SCALE, 1), F.lit(""))
+
+
+def lenient_int(text: Column) -> Column:
+    """The strict integer at any width up to 38 digits, never an error."""
+    return F.when(text.rlike(STRICT_INTEGER), text.try_cast("decimal(38,0)"))
+
+
+def lenient_decimal(text: Column) -> Column:
+    return F.when(text.rlike(STRICT_DECIMAL), text.try_cast(EXACT_DECIMAL))
+
+
 def strict_date(text: Column) -> Column:
     return F.when(is_filled(text), _or_raise(permissive_date(text), text, "date"))
 
@@ -86,6 +106,8 @@ def strict_outcome(text: Column, kind: str) -> tuple[Column, Column]:
 
 PERMISSIVE = {"int": permissive_int, "double": permissive_double, "date": permissive_date}
 STRICT = {"int": strict_int, "decimal": strict_decimal, "date": strict_date}
+# For audits: reads what the strict rule reads, and has NULL where that raises.
+LENIENT = {"int": lenient_int, "decimal": lenient_decimal, "date": permissive_date}
 
 
 def date_parts(date: Column) -> dict[str, Column]:

@@ -1,12 +1,13 @@
 """Command line of the jobs.
 
-    python -m salesloom.jobs ingest    --paths DIR_OR_GLOB --target ROOT [--large-files]
-    python -m salesloom.jobs snowflake --source ROOT --target ROOT [--dense]
-    python -m salesloom.jobs star      --source ROOT --target ROOT [--dense]
-    python -m salesloom.jobs marts     --source ROOT --target ROOT
+    python -m salesloom.jobs ingest    --paths DIR_OR_GLOB --target STORE
+    python -m salesloom.jobs snowflake --source STORE --target STORE [--dense]
+    python -m salesloom.jobs star      --source STORE --target STORE [--dense]
+    python -m salesloom.jobs marts     --source STORE --target STORE
 
-Roots are folders with one parquet table each. For a database, call the functions
-in ``salesloom.jobs.warehouse`` with a ``JdbcStore``.
+A store is a folder of parquet tables, ``catalog:SCHEMA`` for tables of the session's catalog,
+or a ``jdbc:`` URL. Properties of a database connection are given as ``--jdbc name=value``,
+its driver jar to spark-submit. ``--jdbc-splits N`` reads each table over N connections.
 """
 
 from __future__ import annotations
@@ -14,40 +15,51 @@ from __future__ import annotations
 import argparse
 
 from salesloom.jobs import warehouse
-from salesloom.session import build_session
-from salesloom.sources.csv_feed import read_csv_feed, read_large_csv_feed
-from salesloom.sources.tables import FileStore
+from salesloom.session import build_session, remove_materialized
+from salesloom.sources.tables import CatalogStore, FileStore, JdbcStore, Store
 
 
-def main() -> None:
+def store(name: str, properties: dict[str, str], splits: int = 1, split_by: str = "id") -> Store:
+    """The store that a command-line name stands for."""
+    if name.startswith("jdbc:"):
+        return JdbcStore(name, properties, splits=splits, split_by=split_by)
+    if name.startswith("catalog:"):
+        return CatalogStore(name.removeprefix("catalog:"))
+    return FileStore(name)
+
+
+def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="salesloom.jobs")
     parser.add_argument("job", choices=("ingest", "snowflake", "star", "marts"))
     parser.add_argument("--paths", nargs="+", help="CSV files, folders or globs (ingest)")
-    parser.add_argument("--source", help="folder of the input tables")
-    parser.add_argument("--target", required=True, help="folder of the output tables")
+    parser.add_argument("--source", help="store of the input tables")
+    parser.add_argument("--target", required=True, help="store of the output tables")
     parser.add_argument("--dense", action="store_true", help="number ids 1..n")
-    parser.add_argument(
-        "--large-files", action="store_true", help="split CSV files, also inside quoted fields"
-    )
+    parser.add_argument("--jdbc", action="append", default=[], metavar="NAME=VALUE")
+    parser.add_argument("--jdbc-splits", type=int, default=1, help="connections per table read")
+    parser.add_argument("--jdbc-split-by", default="id", help="text column that deals the rows")
     parser.add_argument("--master", help="Spark master, if not set by spark-submit")
-    args = parser.parse_args()
+    args = parser.parse_args(arguments)
     if args.job == "ingest" and not args.paths:
         parser.error("ingest needs --paths")
     if args.job != "ingest" and not args.source:
         parser.error(f"{args.job} needs --source")
 
     spark = build_session(f"salesloom {args.job}", args.master)
-    target = FileStore(args.target)
+    properties = dict(p.split("=", 1) for p in args.jdbc)
+    target = store(args.target, properties)
     if args.job == "ingest":
-        read = read_large_csv_feed if args.large_files else read_csv_feed
-        counts = warehouse.ingest(spark, args.paths, target, read)
-    elif args.job == "marts":
-        counts = warehouse.build_marts(spark, FileStore(args.source), target)
+        counts = warehouse.ingest(spark, args.paths, target)
     else:
-        build = warehouse.build_snowflake if args.job == "snowflake" else warehouse.build_star
-        counts = build(spark, FileStore(args.source), target, args.dense)
+        source = store(args.source, properties, args.jdbc_splits, args.jdbc_split_by)
+        if args.job == "marts":
+            counts = warehouse.build_marts(spark, source, target)
+        else:
+            build = warehouse.build_snowflake if args.job == "snowflake" else warehouse.build_star
+            counts = build(spark, source, target, args.dense)
     for table, rows in counts.items():
         print(f"{table}\t{rows}")
+    remove_materialized(spark)
     spark.stop()
 
 

@@ -37,15 +37,9 @@ def read_staging(spark: SparkSession, source: Store, table: str = STAGING) -> Da
     return materialize(feed, STAGING) if isinstance(source, JdbcStore) else feed
 
 
-def ingest(
-    spark: SparkSession,
-    paths: str | Sequence[str],
-    target: Store,
-    read: Callable[..., DataFrame] = read_csv_feed,
-) -> dict[str, int]:
-    """CSV files to the staging table; ``read`` is one of the readers of the feed."""
-    feed = read(spark, paths)
-    return {STAGING: write_counted(target, feed, STAGING)}
+def ingest(spark: SparkSession, paths: str | Sequence[str], target: Store) -> dict[str, int]:
+    """CSV files to the staging table."""
+    return {STAGING: write_counted(target, read_csv_feed(spark, paths), STAGING)}
 
 
 def build_snowflake(

@@ -30,8 +30,9 @@ def breaks(column: Column, declared: str) -> Column:
     return column.isNotNull() & column.try_cast(declared).isNull()
 
 
-def conform(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
-    """``df`` with exactly the declared columns and types; a value that does not fit raises.
+def conform(df: DataFrame, columns: Mapping[str, str], strict: bool = True) -> DataFrame:
+    """``df`` with exactly the declared columns and types; a value that does not fit raises,
+    or is NULL if not ``strict``.
 
     Decimals are rounded half away from zero to their scale.
     """
@@ -43,7 +44,7 @@ def conform(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
             return column
         error = F.raise_error(
             F.concat(F.lit(f"{name} does not fit {declared}: "), column.cast("string"))
-        )
+        ) if strict else F.lit(None)
         if limit is not None:
             return F.when(breaks(column, declared), error.cast("string")).otherwise(
                 F.substring(column, 1, limit)

@@ -7,15 +7,25 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 
+def settled(distinct: DataFrame, *by: str) -> DataFrame:
+    """The rows of a distinct step, shuffled by ``by``.
+
+    Without an exchange between them Spark drops a distinct below another grouping: all
+    input rows would then be sorted for the aggregation above, or parsed by what
+    stands between.
+    """
+    return distinct.repartition(*by)
+
+
 def one_row_per_key(df: DataFrame, key: Sequence[str], payload: Sequence[str]) -> DataFrame:
     """Keep, per key, the smallest payload in column order, nulls first.
 
     NULL key parts are equal to each other. The distinct step comes first because
     it is a hash aggregation that combines before its shuffle and spreads the
-    variants of a hot key over all tasks; what is left to compare is one row per
+    variants of a hot key over all tasks; what is left to sort and compare is one row per
     different description, not one per input row.
     """
-    variants = df.select(*key, *payload).distinct()
+    variants = settled(df.select(*key, *payload).distinct(), *key)
     winner = F.min(F.struct(*payload)).alias("_winner")
     return variants.groupBy(*key).agg(winner).select(
         *key, *[F.col("_winner")[c].alias(c) for c in payload]

@@ -35,17 +35,24 @@ def content_key_if_complete(*parts: Column) -> Column:
     return F.when(complete, content_key(*parts))
 
 
-def dense_key(df: DataFrame, id_column: str, by: Sequence[str], bucket_digits: int = 4) -> DataFrame:
-    """Number the rows of ``df`` 1..n; ``by`` must be unique.
+# Ranges of ids pass through one task and are broadcast: 16 ** 4 rows.
+MOST_BUCKET_DIGITS = 4
+
+
+def dense_key(
+    df: DataFrame, id_column: str, by: Sequence[str], bucket_digits: int = 4,
+    key: Column | None = None,
+) -> DataFrame:
+    """Number the rows of ``df`` 1..n; ``by`` must be unique (or ``key``, its content key).
 
     Rows are ordered by the hash of ``by`` and cut into ``16 ** bucket_digits``
     even ranges by its first digits. Each range is numbered by its own task and
     shifted by the size of the ranges before it; only that table of range sizes
-    (65,536 rows at the default) passes through one task. The order depends on the
-    values alone, so a second run or a lost executor gives the same numbers.
+    (65,536 rows at the default, which is the most allowed) passes through one task. The order
+    depends on the values alone, so a second run or a lost executor gives the same numbers.
     """
     hashed = df.select(
-        "*", content_key(*[F.col(c) for c in by]).alias("_hash"),
+        "*", (content_key(*[F.col(c) for c in by]) if key is None else key).alias("_hash"),
         F.lit(1).cast("bigint").alias("_n"),
     )
     placed = _place(_bucketed(hashed, bucket_digits))
@@ -57,26 +64,33 @@ def dense_key_of_copies(
 ) -> DataFrame:
     """Number the rows of ``df`` 1..n where rows may be equal.
 
-    Equal rows are counted first (combined before the shuffle) and each distinct row
-    gets a block of numbers. A row with more than ``chunk`` copies is cut into pieces
-    that hash to different ranges, so a billion copies are not the work of one task.
+    Equal rows are counted first (combined before the shuffle) and each distinct row gets a
+    block of numbers, in the order of its hash. Rows with more than ``chunk`` copies are
+    written out in pieces that are dealt over all tasks, so a billion copies are not the
+    work of one; the numbers are the same for any ``chunk``.
     """
     names = df.columns
-    piece = F.col("_piece")
     counted = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
-    pieces = counted.select(
-        *names, "_n", F.explode(F.expr(f"sequence(0, (_n - 1) div {chunk})")).alias("_piece")
-    ).withColumn("_n", F.least(F.lit(chunk), F.col("_n") - piece * chunk))
-    values = [F.col(c) for c in names]
-    hashed = pieces.withColumn(
-        "_hash", F.when(piece == 0, content_key(*values)).otherwise(content_key(*values, piece))
-    )
-    placed = _place(_bucketed(hashed, bucket_digits))
-    numbers = F.sequence(F.col("_before") + 1, F.col("_before") + F.col("_n"))
-    return placed.select(F.explode(numbers).alias(id_column), *names)
+    hashed = counted.withColumn("_hash", content_key(*[F.col(c) for c in names]))
+    placed = _place(_bucketed(hashed, bucket_digits)).select(*names, "_hash", "_before", "_n")
+
+    def written(rows: DataFrame) -> DataFrame:
+        numbers = F.sequence(F.col("_before") + 1, F.col("_before") + F.col("_n"))
+        return rows.select(F.explode(numbers).alias(id_column), *names)
+
+    pieces = placed.where(F.col("_n") > chunk).select(
+        *names, "_hash", "_before", "_n",
+        F.explode(F.expr(f"sequence(0, (_n - 1) div {chunk})")).alias("_piece"),
+    ).repartition("_hash", "_piece").withColumns({
+        "_before": F.col("_before") + F.col("_piece") * chunk,
+        "_n": F.least(F.lit(chunk), F.col("_n") - F.col("_piece") * chunk),
+    })
+    return written(placed.where(F.col("_n") <= chunk)).unionByName(written(pieces))
 
 
 def _bucketed(hashed: DataFrame, digits: int) -> DataFrame:
+    if not 1 <= digits <= MOST_BUCKET_DIGITS:
+        raise ValueError(f"bucket_digits must be 1 to {MOST_BUCKET_DIGITS}")
     return hashed.withColumn("_bucket", F.substring("_hash", 1, digits))
 
 

@@ -14,7 +14,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from salesloom.functions.measures import average, merged, partial_total, total, weighted_average
+from salesloom.functions.measures import average, merged, partial_total, partial_weighted, total
 
 Tables = Mapping[str, DataFrame]
 
@@ -57,22 +57,24 @@ def _product_totals(tables: Tables) -> DataFrame:
     return sales_by(
         tables, "dim_product", "product_id",
         [F.col("product_name"), F.col("product_category")],
-        weighted_average(F.col("product_rating"), F.col("sales")).alias("avg_rating"),
+        *partial_weighted("product_rating", "sales", "rating"),
         F.sum(F.col("product_reviews") * F.col("sales")).alias("total_reviews"),
     ).select(
         "product_name", "product_category",
         F.col("quantity").alias("total_quantity_sold"),
         total("amount").alias("total_revenue"),
-        "avg_rating", "total_reviews",
+        average("rating").alias("avg_rating"),
+        "total_reviews",
     )
 
 
 def product_sales(tables: Tables) -> DataFrame:
-    """Quantity, revenue, rating and reviews per product, best revenue first.
+    """Quantity, revenue, rating and reviews per product.
 
-    Rating and reviews count once per sale row, so they weigh by sales.
+    Rating and reviews count once per sale row, so they weigh by sales. A stored table keeps no
+    order: ``reports.best_products`` orders what is read.
     """
-    return _product_totals(tables).orderBy(F.col("total_revenue").desc())
+    return _product_totals(tables)
 
 
 def product_quality(tables: Tables) -> DataFrame:
@@ -105,16 +107,12 @@ def customer_sales(tables: Tables) -> DataFrame:
 
 
 def time_sales(tables: Tables) -> DataFrame:
-    """Sales per year and month, in order."""
-    return (
-        sales_by(tables, "dim_date", "date_id", [F.col("year"), F.col("month")])
-        .select(
-            "year", "month",
-            total("amount").alias("total_sales"),
-            F.col("sales").alias("num_orders"),
-            average("amount").alias("avg_order_size"),
-        )
-        .orderBy("year", "month")
+    """Sales per year and month; the trends of ``reports`` order them."""
+    return sales_by(tables, "dim_date", "date_id", [F.col("year"), F.col("month")]).select(
+        "year", "month",
+        total("amount").alias("total_sales"),
+        F.col("sales").alias("num_orders"),
+        average("amount").alias("avg_order_size"),
     )
 
 
@@ -140,15 +138,14 @@ def supplier_sales(tables: Tables) -> DataFrame:
     return supplier_totals(tables, "supplier_name", "supplier_country").select(
         "supplier_name", "supplier_country",
         total("amount").alias("total_revenue"),
-        average_price().alias("avg_product_price"),
+        average("price").alias("avg_product_price"),
         F.col("sales").alias("num_products_sold"),
     )
 
 
 def supplier_totals(tables: Tables, *groups: str, how: str = "left") -> DataFrame:
-    """Fact sums per supplier attribute, with the price sum, its count and the suppliers."""
+    """Fact sums per supplier attribute, with the partial price sum and the suppliers."""
     prices = tables["dim_product"].select("product_id", "product_price")
-    price, sales = F.col("product_price"), F.col("sales")
     per_supplier = (
         sales_per(tables["fact_sales"], "supplier_id", "product_id")
         .join(prices, "product_id", "left")
@@ -156,8 +153,7 @@ def supplier_totals(tables: Tables, *groups: str, how: str = "left") -> DataFram
         .agg(
             F.sum("sales").alias("sales"),
             *merged("amount"),
-            F.sum(price * sales).alias("price_sum"),
-            F.sum(F.when(price.isNotNull(), sales)).alias("price_n"),
+            *partial_weighted("product_price", "sales", "price"),
         )
     )
     return (
@@ -166,18 +162,12 @@ def supplier_totals(tables: Tables, *groups: str, how: str = "left") -> DataFram
         .agg(
             F.sum("sales").alias("sales"),
             *merged("amount"),
-            F.sum("price_sum").alias("price_sum"),
-            F.sum("price_n").alias("price_n"),
+            *merged("price"),
             F.count("supplier_id").alias("suppliers"),
         )
     )
 
 
-def average_price() -> Column:
-    """Mean product price per sale row, over ``supplier_totals``."""
-    return F.try_divide("price_sum", F.col("price_n").cast("double"))
-
-
 MARTS = {
     "mart_product_sales": product_sales,
     "mart_customer_sales": customer_sales,

@@ -210,8 +210,8 @@ def parse_failures(staging: DataFrame) -> DataFrame:
     """Per typed column and rule: filled texts, those read as NULL, those that raise.
 
     ``inexact`` counts doubles a total cannot add as decimals without change (NaN,
-    infinity, too large, or more than six decimals). One pass over the staging
-    rows.
+    infinity, too large, or more than ten decimals), and strict decimals with digits behind the
+    eighteenth. One pass over the staging rows.
     """
 
     def line(rule: str, name: str, kind: str) -> Column:
@@ -219,14 +219,13 @@ def parse_failures(staging: DataFrame) -> DataFrame:
         inexact = F.lit(False)
         if rule == "strict":
             unreadable, raises = parse.strict_outcome(text, kind)
+            if kind == "decimal":
+                inexact = parse.is_filled(text) & (parse.beyond_scale(text) != "")
         else:
             value = parse.PERMISSIVE[kind](text)
             unreadable, raises = parse.is_filled(text) & value.isNull(), F.lit(False)
             if kind == "double":
-                exact = value.try_cast(measures.EXACT)
-                inexact = value.isNotNull() & (
-                    exact.isNull() | (exact.cast("double") != value)
-                )
+                inexact = value.isNotNull() & measures.exactly(value).isNull()
         return F.struct(
             F.lit(rule).alias("rule"),
             F.lit(name).alias("column_name"),

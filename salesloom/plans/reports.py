@@ -32,6 +32,11 @@ def matched_products(mart: DataFrame) -> DataFrame:
     return mart.filter(F.col("product_name").isNotNull())
 
 
+def best_products(product_sales: DataFrame) -> DataFrame:
+    """The whole mart, best revenue first."""
+    return product_sales.orderBy(F.col("total_revenue").desc(), *_PRODUCT)
+
+
 def top_products(product_sales: DataFrame, k: int = 10) -> DataFrame:
     """Best revenue."""
     return _top(matched_products(product_sales), "total_revenue", _PRODUCT, k)
@@ -60,7 +65,9 @@ def avg_rating_by_product(product_sales: DataFrame) -> DataFrame:
 def rating_sales_correlation(product_quality: DataFrame) -> DataFrame:
     """Pearson correlation over products; a product without rating does not count."""
     quantity = F.col("total_quantity_sold").cast("double")
-    return product_quality.agg(F.corr("avg_rating", quantity).alias("rating_sales_corr"))
+    corr = F.corr("avg_rating", quantity)
+    # Merged in any order: digits behind the ninth are noise.
+    return product_quality.agg(F.round(corr, 9).alias("rating_sales_corr"))
 
 
 def most_reviewed(product_quality: DataFrame, k: int = 10) -> DataFrame:
@@ -165,6 +172,6 @@ def suppliers_by_country(tables: Tables) -> DataFrame:
     return marts.supplier_totals(tables, "supplier_country", how="inner").select(
         "supplier_country", "suppliers",
         total("amount").alias("total_revenue"),
-        marts.average_price().alias("avg_product_price"),
+        average("price").alias("avg_product_price"),
         F.col("sales").alias("num_products_sold"),
     )

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from salesloom import schema
 from salesloom.functions import parse
 from salesloom.operators.contract import conform
-from salesloom.operators.dedup import one_row_per_key
+from salesloom.operators.dedup import one_row_per_key, settled
 from salesloom.operators.keys import (
     content_key,
     dense_key,
@@ -161,10 +161,14 @@ SUPPLIER = Dimension(
 DIMENSIONS = (CUSTOMER, SELLER, STORE, SUPPLIER)
 
 
-def _assign(df: DataFrame, id_column: str, by, dense: bool) -> DataFrame:
-    if dense:
-        return dense_key(df, id_column, by=by)
-    return df.withColumn(id_column, content_key(*[F.col(c) for c in by]))
+def _assign(df: DataFrame, id_column: str, by, dense: bool, key: Column | None = None) -> DataFrame:
+    key = content_key(*[F.col(c) for c in by]) if key is None else key
+    return dense_key(df, id_column, by, key=key) if dense else df.withColumn(id_column, key)
+
+
+def _rules(enforce: bool) -> dict:
+    """How text is read: what cannot be held raises, or is left for the audit to count."""
+    return parse.STRICT if enforce else parse.LENIENT
 
 
 def _declared(df: DataFrame, table: str, enforce: bool) -> DataFrame:
@@ -185,30 +189,48 @@ def sub_dimension(
     return _declared(_assign(rows, spec.id, spec.columns, dense), spec.table, enforce)
 
 
-def _parsed_details(rows: DataFrame, *keep: str) -> DataFrame:
-    """The ten details of each row, unrounded, beside the columns in ``keep``."""
+def _parsed_details(rows: DataFrame, *keep: str, enforce: bool = True) -> DataFrame:
+    """The ten details of each row, unrounded, beside the columns in ``keep``.
+
+    ``_beyond`` holds the digits of decimals that the parsed type cannot, '' as a rule.
+    """
 
     def value(feed_column: str, kind: str) -> Column:
         text = F.col(feed_column)
-        return parse.null_to_empty(text) if kind == "text" else parse.STRICT[kind](text)
+        return parse.null_to_empty(text) if kind == "text" else _rules(enforce)[kind](text)
 
-    return rows.select(*keep, *[value(c, k).alias(n) for n, (c, k) in DETAILS.items()])
+    digits = [parse.beyond_scale(F.col(c)) for c, kind in DETAILS.values() if kind == "decimal"]
+    beyond = F.when(F.concat(*digits) != "", F.concat_ws("|", *digits)).otherwise("")
+    return rows.select(
+        *keep, *[value(c, k).alias(n) for n, (c, k) in DETAILS.items()], beyond.alias("_beyond")
+    )
 
 
 def product_details(staging: DataFrame, dense: bool = False, enforce: bool = True) -> DataFrame:
     """Distinct parsed details; distinct is taken before weight and rating are rounded.
 
-    Distinct texts come first, so each is parsed once and not once per sale.
+    Distinct texts come first, so each is parsed once and not once per sale. Details that differ
+    only in digits no type holds are different details.
     """
-    texts = staging.select(*[c for c, _ in DETAILS.values()]).distinct()
-    rows = _parsed_details(texts).distinct()
-    return _declared(_assign(rows, "details_id", DETAILS, dense), "d_product_details", enforce)
+    columns = [c for c, _ in DETAILS.values()]
+    texts = settled(staging.select(*columns).distinct(), *columns)
+    rows = _parsed_details(texts, enforce=enforce).distinct()
+    values, beyond = [F.col(n) for n in DETAILS], F.col("_beyond")
+    key = F.when(beyond == "", content_key(*values)).otherwise(content_key(*values, beyond))
+    return _declared(
+        _assign(rows, "details_id", DETAILS, dense, key), "d_product_details", enforce
+    )
 
 
 def date_dimension(staging: DataFrame, dense: bool = False, enforce: bool = True) -> DataFrame:
     """Distinct sale dates read strictly; NULL and '' are left out."""
-    texts = staging.select("sale_date").filter(parse.is_filled(F.col("sale_date"))).distinct()
-    dates = texts.select(parse.strict_date(F.col("sale_date")).alias("full_date")).distinct()
+    texts = settled(
+        staging.select("sale_date").filter(parse.is_filled(F.col("sale_date"))).distinct(),
+        "sale_date",
+    )
+    dates = texts.select(_rules(enforce)["date"](F.col("sale_date")).alias("full_date")).distinct()
+    if not enforce:
+        dates = dates.filter(F.col("full_date").isNotNull())
     keyed = _assign(dates, "date_id", ["full_date"], dense)
     parts = parse.date_parts(F.col("full_date"))
     return _declared(
@@ -250,7 +272,7 @@ def dimension(
             on = {feed: name for name, feed in sub.columns.items()}
             winners = lookup(winners, tables[sub.table], on, [sub.id], "inner")
     columns = {
-        name: parse.strict_int(F.col(c)) if c in spec.entity.parsed else F.col(c)
+        name: _rules(enforce)["int"](F.col(c)) if c in spec.entity.parsed else F.col(c)
         for name, c in spec.columns.items()
     }
     return _declared(
@@ -271,11 +293,13 @@ def product(
 ) -> DataFrame:
     """Products joined to every details row that stores exactly their parsed values.
 
-    A product can match no details row or several, so the id covers both.
+    A product can match no details row or several, so the id covers both. One with digits
+    that no stored value holds matches nothing.
     """
     winners = one_row_per_key(staging, schema.PRODUCT.key, schema.PRODUCT.payload)
     kept = [*schema.PRODUCT.key, "product_price", "product_quantity"]
-    parsed = _parsed_details(winners, *kept)
+    parsed = _parsed_details(winners, *kept, enforce=enforce)
+    parsed = parsed.filter(F.col("_beyond") == "").drop("_beyond")
     # Stored values are rounded, the product's are not: compare them at full width.
     stored = details.select(
         "details_id",
@@ -301,8 +325,8 @@ def product(
         keyed.select(
             "product_id",
             F.col("product_name").alias("name"),
-            parse.strict_decimal(F.col("product_price")).alias("price"),
-            parse.strict_int(F.col("product_quantity")).alias("quantity"),
+            _rules(enforce)["decimal"](F.col("product_price")).alias("price"),
+            _rules(enforce)["int"](F.col("product_quantity")).alias("quantity"),
             "category_id", "details_id",
         ),
         "d_product", enforce,
@@ -311,7 +335,7 @@ def product(
 
 # --- fact ---------------------------------------------------------------------
 
-# Dimension -> (feed column -> dimension column) for the plain name-and-email keys.
+# Dimension -> (feed column -> dimension column) of plain name-and-email keys.
 _BY_NAME = {
     "d_customer": {
         "customer_first_name": "first_name", "customer_last_name": "last_name",
@@ -325,11 +349,11 @@ _BY_NAME = {
 }
 
 
-def _measures() -> list[Column]:
-    amount = parse.strict_decimal(F.col("sale_total_price"))
+def _measures(enforce: bool) -> list[Column]:
+    rules = _rules(enforce)
     return [
-        parse.strict_int(F.col("sale_quantity")).alias("sale_quantity"),
-        amount.alias("sale_total_price"),
+        rules["int"](F.col("sale_quantity")).alias("sale_quantity"),
+        rules["decimal"](F.col("sale_total_price")).alias("sale_total_price"),
     ]
 
 
@@ -351,7 +375,7 @@ def fact(staging: DataFrame, tables: Tables, enforce: bool = True) -> DataFrame:
         "full_date", parse.permissive_date(F.col("sale_date"))
     )
     sales = dated.filter(F.col("full_date").isNotNull()).select(
-        *_measures(),
+        *_measures(enforce),
         *[
             content_key(*[F.col(c) for c in d.entity.key]).alias(d.entity.id) for d in named
         ],
@@ -381,7 +405,7 @@ def fact_by_lookup(staging: DataFrame, tables: Tables, enforce: bool = True) ->
     and then used as part of the product and store keys.
     """
     sales = staging.select(
-        *_measures(),
+        *_measures(enforce),
         parse.permissive_date(F.col("sale_date")).alias("full_date"),
         "product_name", "store_name",
         *[c for on in _BY_NAME.values() for c in on],
@@ -406,6 +430,16 @@ def number_sales(sales: DataFrame) -> DataFrame:
     return dense_key_of_copies(sales, "sale_id")
 
 
+# --- for audits -----------------------------------------------------------------
+
+
+def as_stored(table: str, raw: DataFrame) -> DataFrame:
+    """A table built with ``enforce=False`` in its declared types, NULL where a value breaks
+    them: audits go on where a build would stop."""
+    declared = schema.SNOWFLAKE_COLUMNS[table]
+    return conform(raw, {c: d for c, d in declared.items() if c in raw.columns}, strict=False)
+
+
 # --- whole model --------------------------------------------------------------
 
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from salesloom.functions import parse
-from salesloom.operators.dedup import one_row_per_key
+from salesloom.operators.dedup import one_row_per_key, settled
 from salesloom.operators.keys import content_key, content_key_if_complete, dense_key
 from salesloom.operators.lookup import lookup
 from salesloom.schema import STAR_ENTITIES, Entity
@@ -30,7 +30,7 @@ def dimension(staging: DataFrame, entity: Entity, dense: bool = False) -> DataFr
 
 def date_dimension(staging: DataFrame, dense: bool = False) -> DataFrame:
     """Every sale date read permissively, with one NULL row if any is missing or unreadable."""
-    texts = staging.select("sale_date").distinct()
+    texts = settled(staging.select("sale_date").distinct(), "sale_date")
     dates = texts.select(parse.permissive_date(F.col("sale_date")).alias("full_date")).distinct()
     keyed = _keyed(dates, "date_id", ["full_date"], dense)
     return keyed.select(

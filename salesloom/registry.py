@@ -1,41 +1,63 @@
 """Every query by name: ``(spark, sf_dir) -> DataFrame`` over the given tables.
 
-As in the warehouse itself, the feed is written once per application and folder as
+As in the warehouse itself, the feed is written once per application and state of the folder as
 a staging table, which the models read with column pruning, and marts and audits
 read the models as tables. The queries that show the feed and its parsing read the
-given tables directly.
+given tables directly. ``discard`` removes the written tables.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salesloom import schema
 from salesloom.functions import parse
 from salesloom.operators.keys import content_key, content_key_if_complete
 from salesloom.plans import marts, quality, reports, snowflake, star
-from salesloom.session import materialize, side_by_side
-from salesloom.sources.retail import staging_feed
+from salesloom.session import (
+    file_state, materialize, remove_materialized, shared_directory, side_by_side,
+)
+from salesloom.sources.csv_feed import read_csv_feed, write_csv_feed
+from salesloom.sources.retail import BROKEN, staging_feed
+from salesloom.sources.tables import CatalogStore, FileStore, write_counted
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_STAGED: dict[tuple[str, str, str], DataFrame] = {}
+# The given tables that the feed is derived from.
+SOURCES = ("lineitem", "orders", "customer", "nation", "part", "supplier")
+
+_STAGED: dict[tuple, DataFrame] = {}
 
 
 def _once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """``build()`` written to the shared folder, once per application and folder."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    """``build()`` written to the shared folder, once per application and state of the input."""
+    state = file_state(spark, [f"{sf_dir}/{t}.parquet" for t in SOURCES])
+    key = (spark.sparkContext.applicationId, sf_dir, state, name)
     if key not in _STAGED:
         _STAGED[key] = materialize(build(), name)
     return _STAGED[key]
 
 
+def discard(spark: SparkSession) -> None:
+    """Remove the tables that queries of this application have written to the shared folder."""
+    application = spark.sparkContext.applicationId
+    for key in [k for k in _STAGED if k[0] == application]:
+        del _STAGED[key]
+    remove_materialized(spark)
+
+
 def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _once(spark, sf_dir, "staging", lambda: staging_feed(spark, sf_dir))
 
 
+def broken_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed with values that the declared types cannot store."""
+    return _once(spark, sf_dir, "broken", lambda: staging_feed(spark, sf_dir, BROKEN))
+
+
 Plans = Mapping[str, Callable[[], DataFrame]]
 
 
@@ -88,15 +110,6 @@ def stored_snowflake(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return stored | _store(spark, sf_dir, "content", {"f_sale": sales})
 
 
-def rounded(df: DataFrame) -> DataFrame:
-    """Doubles at a comparable precision: totals to cents, means to six decimals."""
-    doubles = {f.name for f in df.schema if isinstance(f.dataType, T.DoubleType)}
-    return df.select(*[
-        F.round(c, 2 if c.startswith("total_") else 6).alias(c) if c in doubles else c
-        for c in df.columns
-    ])
-
-
 # --- feed and parsing ---------------------------------------------------------
 
 
@@ -233,11 +246,15 @@ def snow_fact_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snowflake.fact_by_lookup(staging(spark, sf_dir), dense)
 
 
-def snow_customer_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers and their sub-dimensions with dense ids, looked up."""
-    feed, spec = staging(spark, sf_dir), snowflake.CUSTOMER
-    subs = {s.table: snowflake.sub_dimension(feed, s, dense=True) for s in spec.points_to}
-    return snowflake.dimension(feed, spec, subs, dense=True)
+def _snow_lookup(spec: snowflake.Dimension) -> Query:
+    """A dimension and its sub-dimensions with dense ids, looked up."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        feed = staging(spark, sf_dir)
+        subs = {s.table: snowflake.sub_dimension(feed, s, dense=True) for s in spec.points_to}
+        return snowflake.dimension(feed, spec, subs, dense=True)
+
+    return query
 
 
 def snow_product_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,13 +271,13 @@ def snow_product_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _mart(name: str, report: Callable[[DataFrame], DataFrame] = lambda mart: mart) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         tables = star_tables(spark, sf_dir, *MART_DIMENSIONS[name])
-        return rounded(report(marts.MARTS[name](tables)))
+        return report(marts.MARTS[name](tables))
 
     return query
 
 
 def _from_star(report: Callable[[dict[str, DataFrame]], DataFrame], *dimensions: str) -> Query:
-    return lambda spark, sf_dir: rounded(report(star_tables(spark, sf_dir, *dimensions)))
+    return lambda spark, sf_dir: report(star_tables(spark, sf_dir, *dimensions))
 
 
 def dq_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -285,17 +302,79 @@ def dq_row_counts_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def audited_snowflake(
+    spark: SparkSession, sf_dir: str, feed: DataFrame, kind: str
+) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """The fourteen tables before declared types apply, and in them. Nothing raises: a value
+    that cannot be stored is kept in the first for counting and is NULL in the second."""
+    def level(plans: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        return _store(spark, sf_dir, kind, {n: lambda df=df: df for n, df in plans.items()})
+
+    raw = level(snowflake.sub_dimensions(feed, enforce=False))
+    stored = {t: snowflake.as_stored(t, df) for t, df in raw.items()}
+    entities = level(snowflake.dimensions(feed, stored, enforce=False))
+    raw |= entities
+    stored |= {t: snowflake.as_stored(t, df) for t, df in entities.items()}
+    # Every id is looked up: a key that cannot be stored has no row to be found.
+    raw |= level({"f_sale": snowflake.fact_by_lookup(feed, stored, enforce=False)})
+    stored["f_sale"] = snowflake.as_stored("f_sale", raw["f_sale"])
+    return raw, stored
+
+
 def dq_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Over the fourteen tables as they are before declared types are enforced."""
-    feed, stored = staging(spark, sf_dir), stored_snowflake(spark, sf_dir)
-    tables = snowflake.sub_dimensions(feed, enforce=False)
-    tables.update(snowflake.dimensions(feed, stored, enforce=False))
-    tables["f_sale"] = snowflake.fact(feed, stored, enforce=False)
-    return quality.snowflake_contract(tables)
+    raw, _ = audited_snowflake(spark, sf_dir, staging(spark, sf_dir), "audit")
+    return quality.snowflake_contract(raw)
+
+
+def dq_contract_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw, _ = audited_snowflake(spark, sf_dir, broken_staging(spark, sf_dir), "audit-broken")
+    return quality.snowflake_contract(raw)
 
 
 def dq_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.reconciliation(staging(spark, sf_dir), stored_snowflake(spark, sf_dir))
+    feed = staging(spark, sf_dir)
+    return quality.reconciliation(feed, audited_snowflake(spark, sf_dir, feed, "audit")[1])
+
+
+def dq_reconciliation_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = broken_staging(spark, sf_dir)
+    return quality.reconciliation(feed, audited_snowflake(spark, sf_dir, feed, "audit-broken")[1])
+
+
+# --- sources and sinks ----------------------------------------------------------
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_directory(spark).rstrip('/')}/{name}-{os.urandom(8).hex()}"
+
+
+def io_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed written as delivered (CSV, line breaks and quotes inside fields) and read back."""
+    folder = _folder(spark, "csv")
+    feed = staging(spark, sf_dir).withColumn("product_description", F.concat(
+        "product_description", F.lit('\r\nsecond "line"\n'), "id"
+    ))
+    write_csv_feed(feed, folder)
+    return read_csv_feed(spark, folder)
+
+
+def io_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table written twice and counted: the second write replaces the first."""
+    store, dates = FileStore(_folder(spark, "store")), dim_date(spark, sf_dir)
+    write_counted(store, dates.limit(1), "dim_date")
+    rows = write_counted(store, dates, "dim_date")
+    return store.read(spark, "dim_date").withColumn("written", F.lit(rows).cast("bigint"))
+
+
+def io_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table created twice, the second time without effect, then filled by two appends."""
+    name = f"dates_{os.urandom(8).hex()}"
+    store, dates = CatalogStore(), dim_date(spark, sf_dir)
+    store.create_if_absent(spark, name, dates.schema)
+    store.append(dates.where("quarter <= 2"), name)
+    store.create_if_absent(spark, name, dates.schema)
+    store.append(dates.where("quarter > 2 OR quarter IS NULL"), name)
+    return store.read(spark, name)
 
 
 def dq_parse_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -325,7 +404,10 @@ QUERIES: dict[str, Query] = {
     "snow_supplier": _snow_dimension(snowflake.SUPPLIER),
     "snow_fact": snow_fact,
     "snow_fact_lookup": snow_fact_lookup,
-    "snow_customer_lookup": snow_customer_lookup,
+    "snow_customer_lookup": _snow_lookup(snowflake.CUSTOMER),
+    "snow_seller_lookup": _snow_lookup(snowflake.SELLER),
+    "snow_store_lookup": _snow_lookup(snowflake.STORE),
+    "snow_supplier_lookup": _snow_lookup(snowflake.SUPPLIER),
     "snow_product_lookup": snow_product_lookup,
     "dim_customer": _dimension(schema.CUSTOMER),
     "dim_seller": _dimension(schema.SELLER),
@@ -363,6 +445,11 @@ QUERIES: dict[str, Query] = {
     "dq_row_counts": dq_row_counts,
     "dq_row_counts_star": dq_row_counts_star,
     "dq_contract": dq_contract,
+    "dq_contract_broken": dq_contract_broken,
     "dq_reconciliation": dq_reconciliation,
+    "dq_reconciliation_broken": dq_reconciliation_broken,
+    "io_csv": io_csv,
+    "io_overwrite": io_overwrite,
+    "io_append": io_append,
     "dq_parse_failures": dq_parse_failures,
 }

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import os
-import tempfile
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -48,18 +47,43 @@ def build_session(app_name: str, master: str | None = None, **settings: str) ->
 def shared_directory(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 
-    Only a session without ``spark.checkpoint.dir`` (a local test) gets a folder
-    of its own.
+    A session without ``spark.checkpoint.dir`` uses a folder beside its tables, in the
+    warehouse, which all executors reach too.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
-    if not configured:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="salesloom-")
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    return (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
+    )
+
+
+_WRITTEN: dict[str, list[str]] = {}
+
+
+def _hadoop_path(spark: SparkSession, name: str):
+    """A path and its file system, whatever store it is in."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def file_state(spark: SparkSession, names: Sequence[str]) -> tuple:
+    """Size and time of each file or folder: changes when an input is replaced."""
+    state = []
+    for name in names:
+        path, system = _hadoop_path(spark, name)
+        content = system.getContentSummary(path)
+        state.append((
+            content.getLength(), content.getFileCount(),
+            system.getFileStatus(path).getModificationTime(),
+        ))
+    return tuple(state)
+
+
+def remove_materialized(spark: SparkSession) -> None:
+    """Delete what ``materialize`` has written in this application."""
+    for name in _WRITTEN.pop(spark.sparkContext.applicationId, []):
+        path, system = _hadoop_path(spark, name)
+        system.delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -71,6 +95,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     folder = f"{shared_directory(spark).rstrip('/')}/{name}-{os.urandom(8).hex()}"
     df.write.parquet(folder)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 

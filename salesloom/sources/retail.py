@@ -6,6 +6,8 @@ conflicting descriptions, from any scale factor of the given tables.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Column -> expression over the joined tables. Valid both in Spark SQL and DuckDB.
@@ -33,8 +35,8 @@ STAGING_EXPRESSIONS: dict[str, str] = {
     "sale_customer_id": "cast(o_custkey as string)",
     "sale_seller_id": "cast(o_orderkey%97 as string)",
     "sale_product_id": "cast(l_partkey as string)",
-    "sale_quantity": "CASE WHEN l_orderkey%301=0 THEN '' ELSE cast(cast(l_quantity as int) as string) END",
-    "sale_total_price": "CASE WHEN l_orderkey%307=0 THEN 'bad' ELSE cast(cast(l_extendedprice as decimal(12,2)) as string) END",
+    "sale_quantity": "CASE WHEN l_orderkey%301=0 THEN '' WHEN l_orderkey%313=0 THEN concat(' +',cast(cast(l_quantity as int) as string),'.9 ') WHEN l_orderkey%317=0 THEN '.5' WHEN l_orderkey%331=0 THEN concat('-',cast(cast(l_quantity as int) as string),'.') ELSE cast(cast(l_quantity as int) as string) END",
+    "sale_total_price": "CASE WHEN l_orderkey%307=0 THEN 'bad' WHEN l_orderkey%311=0 THEN concat(cast(l_linenumber as string),'.00000004') ELSE cast(cast(l_extendedprice as decimal(12,2)) as string) END",
     "store_name": "concat('Store ',cast(l_orderkey%13 as string))",
     "store_location": "CASE WHEN l_suppkey%6=0 THEN NULL ELSE concat('Unit ',cast(l_suppkey%6 as string)) END",
     "store_city": "CASE WHEN l_partkey%17=0 THEN '' WHEN l_partkey%17=1 THEN NULL ELSE concat('City ',cast(l_partkey%17 as string)) END",
@@ -63,8 +65,22 @@ STAGING_EXPRESSIONS: dict[str, str] = {
 }
 
 
-def staging_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed over every line item of ``sf_dir``.
+# Values that the declared types cannot store, in place of some of the above: too long a name,
+# integers and prices too wide, prices with three decimals, dates that do not exist.
+BROKEN: dict[str, str] = {
+    "customer_first_name": "CASE WHEN c_custkey%37=0 THEN repeat('x',201) ELSE split_part(c_name,'#',1) END",
+    "product_quantity": "CASE WHEN p_partkey%29=0 THEN '99999999999' ELSE cast(p_size as string) END",
+    "product_price": "CASE WHEN p_partkey%33=0 THEN '123456789012345.5' WHEN p_partkey%31=0 THEN concat(cast(cast(p_retailprice as decimal(12,2)) as string),'5') ELSE cast(cast(p_retailprice as decimal(12,2)) as string) END",
+    "product_rating": "CASE WHEN p_partkey%41=0 THEN '1.0000000000000000001' WHEN p_partkey%41=1 THEN '4.55' ELSE concat(cast(1+p_partkey%4 as string),'.',cast(p_partkey%10 as string)) END",
+    "sale_date": "CASE WHEN o_orderkey%227=0 THEN '13/45/2021' ELSE concat(cast(month(o_orderdate) as string),'/',cast(day(o_orderdate) as string),'/',cast(year(o_orderdate) as string)) END",
+    "sale_quantity": "CASE WHEN l_orderkey%229=0 THEN '99999999999' ELSE cast(cast(l_quantity as int) as string) END",
+}
+
+
+def staging_feed(
+    spark: SparkSession, sf_dir: str, changes: Mapping[str, str] | None = None
+) -> DataFrame:
+    """The feed over every line item of ``sf_dir``; ``changes`` replace column expressions.
 
     Orders grow with the line items, so the two are always shuffled on the order
     key, which also spreads a feed that lies in few files; the other five joins are
@@ -85,7 +101,8 @@ def staging_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(table("supplier"), on=_eq("l_suppkey", "s_suppkey"))
         .join(nation.alias("sn"), on=_eq("s_nationkey", "sn.n_nationkey"))
     )
-    return joined.selectExpr(*[f"{e} AS {c}" for c, e in STAGING_EXPRESSIONS.items()])
+    expressions = {**STAGING_EXPRESSIONS, **(changes or {})}
+    return joined.selectExpr(*[f"{e} AS {c}" for c, e in expressions.items()])
 
 
 def _eq(left: str, right: str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
@@ -59,9 +59,12 @@ class JdbcStore:
     """Tables of a database; the driver jar and the credentials are the user's.
 
     ``partitioning`` gives the reader ``partitionColumn``, ``lowerBound``,
-    ``upperBound`` and ``numPartitions`` per table. Without it a table is read over
-    one connection by one task. Writing opens one connection per partition, at most
-    ``connections``.
+    ``upperBound`` and ``numPartitions`` per table, for a column of numbers or dates.
+    ``predicates`` gives it one condition per connection instead: the rows must fall under
+    exactly one each. A table with neither is read over ``splits`` connections that share its
+    rows by the ends of the text column ``split_by`` (its last character's code, as every
+    database has ``ASCII`` and ``RIGHT``), if it has that column; else over one. Writing opens
+    one connection per partition, at most ``connections``.
     """
 
     url: str
@@ -69,6 +72,9 @@ class JdbcStore:
     partitioning: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
     connections: int = 32
     write_options: Mapping[str, str] = field(default_factory=dict)
+    predicates: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    splits: int = 1
+    split_by: str = "id"
 
     def reader_options(self, table: str) -> dict[str, str]:
         return {
@@ -82,8 +88,24 @@ class JdbcStore:
             "numPartitions": str(self.connections),
         }
 
+    def conditions(self, table: str, columns: Sequence[str]) -> list[str]:
+        """One condition per connection, empty for a read over one."""
+        if table in self.predicates:
+            return list(self.predicates[table])
+        if self.splits < 2 or self.split_by not in columns or table in self.partitioning:
+            return []
+        code = f"MOD(ASCII(RIGHT({self.split_by}, 1)), {self.splits})"
+        rest = [f"{code} = {k}" for k in range(1, self.splits)]
+        return [f"({code} = 0 OR {self.split_by} IS NULL OR {self.split_by} = '')", *rest]
+
     def read(self, spark: SparkSession, table: str) -> DataFrame:
-        return spark.read.format("jdbc").options(**self.reader_options(table)).load()
+        whole = spark.read.format("jdbc").options(**self.reader_options(table)).load()
+        conditions = self.conditions(table, whole.columns)
+        if not conditions:
+            return whole
+        return spark.read.jdbc(
+            self.url, table, predicates=conditions, properties=dict(self.properties)
+        )
 
     def write(self, df: DataFrame, table: str, mode: str = "overwrite") -> None:
         df.write.format("jdbc").options(**self.writer_options(table)).mode(mode).save()

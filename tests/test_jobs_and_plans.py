@@ -5,7 +5,7 @@ import pytest
 from salesloom import registry, schema
 from salesloom.jobs import warehouse
 from salesloom.plans import marts, snowflake, star
-from salesloom.sources.csv_feed import read_csv_feed
+from salesloom.sources.csv_feed import read_csv_feed, write_csv_feed
 from salesloom.sources.tables import FileStore
 
 
@@ -13,8 +13,7 @@ from salesloom.sources.tables import FileStore
 def test_jobs_from_csv_to_marts(spark, sf_dir, tmp_path, dense):
     feed = registry.staging(spark, sf_dir)
     delivered = str(tmp_path / "delivered")
-    feed.repartition(3).write.option("header", True).option("escape", '"').option(
-        "nullValue", None).option("emptyValue", '""').csv(delivered)
+    write_csv_feed(feed.repartition(3), delivered)
     assert read_csv_feed(spark, delivered).exceptAll(feed).isEmpty()
 
     store = FileStore(str(tmp_path / "tables"))
@@ -28,7 +27,7 @@ def test_jobs_from_csv_to_marts(spark, sf_dir, tmp_path, dense):
     assert set(built) == set(schema.MART_TABLES)
 
     expected = registry.QUERIES["mart_product_quality"](spark, sf_dir)
-    written = registry.rounded(store.read(spark, "mart_product_quality"))
+    written = store.read(spark, "mart_product_quality")
     assert sorted(map(str, written.collect())) == sorted(map(str, expected.collect()))
 
 
@@ -67,3 +66,81 @@ def test_snowflake_fact_pushes_null_filters_to_the_scan(spark, sf_dir):
                for line in pushed)
     # Two joins, not six: the other ids are computed.
     assert text.count("HashJoin [") + text.count("SortMergeJoin [") == 2
+
+
+def before_the_last_exchange(text: str) -> str:
+    """The deepest part of a plan: what runs on the scanned rows before the first shuffle."""
+    return text[text.rindex("Exchange"):]
+
+
+@pytest.mark.parametrize("name", [
+    "dim_customer", "dim_seller", "dim_product", "dim_store", "dim_supplier",
+    "snow_customer", "snow_seller", "snow_store", "snow_supplier",
+])
+def test_staged_rows_are_hashed_not_sorted(spark, sf_dir, name):
+    scanned = before_the_last_exchange(plan(registry.QUERIES[name](spark, sf_dir)))
+    assert "HashAggregate" in scanned and "Sort" not in scanned
+
+
+@pytest.mark.parametrize("name,parser", [
+    ("dim_date", "gettimestamp"), ("snow_date", "gettimestamp"), ("sub_product_details", "RLIKE"),
+])
+def test_texts_are_parsed_after_they_are_distinct(spark, sf_dir, name, parser):
+    text = plan(registry.QUERIES[name](spark, sf_dir))
+    assert parser in text and parser not in before_the_last_exchange(text)
+
+
+@pytest.mark.parametrize("name", [
+    "revenue_by_category", "avg_rating_by_product", "mart_product_sales", "mart_time_sales",
+])
+def test_marts_are_not_ordered(spark, sf_dir, name):
+    assert "rangepartitioning" not in plan(registry.QUERIES[name](spark, sf_dir))
+
+
+def test_command_line_runs_on_catalog_tables(spark, sf_dir, tmp_path, monkeypatch):
+    from salesloom.jobs import __main__ as cli
+    from salesloom.sources.tables import CatalogStore, JdbcStore
+
+    monkeypatch.setattr(cli, "build_session", lambda *a: spark)
+    monkeypatch.setattr(cli, "remove_materialized", lambda spark: None)
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    spark.sql("CREATE DATABASE IF NOT EXISTS wh")
+    registry.staging(spark, sf_dir).write.mode("overwrite").saveAsTable("wh.staging")
+    cli.main(["star", "--source", "catalog:wh", "--target", str(tmp_path)])
+    cli.main(["marts", "--source", str(tmp_path), "--target", "catalog:wh"])
+    assert spark.table("wh.mart_time_sales").count() > 0
+    assert cli.store("catalog:wh", {}) == CatalogStore("wh")
+    assert isinstance(cli.store("jdbc:x:y", {"user": "u"}, 4), JdbcStore)
+
+
+def test_jdbc_reads_are_split_by_conditions():
+    from salesloom.sources.tables import JdbcStore
+
+    plain = JdbcStore("jdbc:x:y")
+    assert plain.conditions("t", ["id"]) == []
+    split = JdbcStore("jdbc:x:y", splits=3).conditions("t", ["id", "b"])
+    assert len(split) == 3 and "IS NULL" in split[0] and all("MOD" in c for c in split)
+    assert JdbcStore("jdbc:x:y", splits=3).conditions("t", ["b"]) == []
+    given = JdbcStore("jdbc:x:y", predicates={"t": ["a = 1", "a <> 1"]})
+    assert given.conditions("t", []) == ["a = 1", "a <> 1"]
+
+
+def test_staged_tables_follow_their_input_and_are_removed(spark, sf_dir, tmp_path, monkeypatch):
+    import os
+    import shutil
+
+    from salesloom import session
+
+    monkeypatch.setattr(registry, "_STAGED", {})
+    monkeypatch.setattr(session, "_WRITTEN", {})
+    copy = tmp_path / "tables"
+    copy.mkdir()
+    for name in registry.SOURCES:
+        shutil.copyfile(f"{sf_dir}/{name}.parquet", copy / f"{name}.parquet")
+    assert registry.staging(spark, str(copy)).count() == 6000
+    some = spark.read.parquet(f"{sf_dir}/lineitem.parquet").limit(10).toPandas()
+    some.to_parquet(copy / "lineitem.parquet", coerce_timestamps="us")
+    assert registry.staging(spark, str(copy)).count() == 10
+    written = [name for names in session._WRITTEN.values() for name in names]
+    registry.discard(spark)
+    assert len(written) == 2 and not any(os.path.exists(name) for name in written)

@@ -161,3 +161,16 @@ def test_contract_report(spark):
 
 def test_shared_directory_is_the_configured_one(spark):
     assert shared_directory(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_numbers_of_copies_do_not_depend_on_the_piece_size(spark):
+    df = spark.createDataFrame([("a",)] * 7 + [("b",)] * 3 + [(None,)], "k string")
+    small = dense_key_of_copies(df, "n", chunk=2).collect()
+    assert sorted(map(tuple, small), key=str) == sorted(
+        map(tuple, dense_key_of_copies(df, "n").collect()), key=str)
+
+
+@pytest.mark.parametrize("digits", [0, 5])
+def test_too_many_ranges_are_refused(spark, digits):
+    with pytest.raises(ValueError):
+        dense_key(spark.createDataFrame([("a",)], "k string"), "n", ["k"], bucket_digits=digits)

@@ -9,8 +9,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from oracles import duckdb_sql
+from salesloom.registry import QUERIES
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+ORACLE = duckdb_sql.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +26,7 @@ def duck(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)

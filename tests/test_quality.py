@@ -22,7 +22,7 @@ def test_duplicate_and_null_keys(spark):
 
 def test_parse_failures(feed):
     staging = feed(
-        {"customer_age": "n/a", "sale_total_price": "1.2345678"},
+        {"customer_age": "n/a", "sale_total_price": "1.23456789012"},
         {"customer_age": "12.7", "sale_total_price": "NaN", "sale_date": "1/5/21"},
         {"customer_age": "99999999999", "sale_total_price": None},
         {"customer_age": "", "sale_total_price": "-1"},
@@ -46,6 +46,33 @@ def test_contract_counts_what_enforcing_raises(feed):
     assert rows["d_product_details", "weight"] == (0, 1)
 
 
+def test_audits_go_on_where_a_build_stops(feed, spark, sf_dir, monkeypatch):
+    """One value that breaks its type is counted, in the contract and as lost sales."""
+    staging = feed({"customer_first_name": "x" * 201}, {"sale_date": "13/45/2021"},
+                   {"sale_quantity": "99999999999"}, {"product_price": "123456789012.5"}, {})
+    raw, stored = registry.audited_snowflake(spark, sf_dir, staging, "test-audit")
+    rows = {(r.table_name, r.column_name): r.not_storable
+            for r in quality.snowflake_contract(raw).collect()}
+    assert rows["d_customer", "first_name"] == 1 and rows["f_sale", "sale_quantity"] == 1
+    assert rows["d_product", "price"] == 0  # the smaller text wins its key
+    lines = {r.dimension: r for r in quality.reconciliation(staging, stored).collect()}
+    assert lines["d_customer"].unmatched_sales == 1 and lines["d_date"].unmatched_sales == 1
+    assert lines["f_sale"].sales_after == 3
+
+
+def test_digits_beyond_the_scale_match_nothing_and_stay_apart(feed):
+    one, two = "1.0000000000000000001", "1.0000000000000000002"
+    staging = feed({"product_weight": one, "product_name": "p1"},
+                   {"product_weight": two, "product_name": "p2"},
+                   {"product_weight": "1", "product_name": "p3"})
+    tables = snowflake.build(staging)
+    assert tables["d_product_details"].count() == 3
+    products = {r["name"]: 0 for r in tables["d_product"].collect()}
+    assert set(products) == {"p3"}
+    rows = {(r.rule, r.column_name): r.inexact for r in quality.parse_failures(staging).collect()}
+    assert rows["strict", "product_weight"] == 2
+
+
 def test_row_counts(spark, sf_dir):
     rows = {r.table_name: r.row_count for r in registry.dq_row_counts(spark, sf_dir).collect()}
     assert len(rows) == 15 and rows["raw_data"] == 6000

@@ -116,7 +116,7 @@ def test_rankings_leave_out_unmatched_sales(feed):
         {"product_name": "y"},
     ))
     mart = marts.product_sales(built)
-    assert mart.first().product_name is None
+    assert reports.best_products(mart).first().product_name is None
     assert [r.product_name for r in reports.top_products(mart, 5).collect()] == ["x", "y"]
 
 
@@ -125,3 +125,24 @@ def test_winner_is_the_same_for_any_order(feed):
     expected = star.dimension(staging, star.STAR_ENTITIES[2]).collect()
     again = star.dimension(staging.orderBy(F.rand(7)).repartition(3), star.STAR_ENTITIES[2]).collect()
     assert expected == again and expected[0].product_price == 0.0
+
+
+@pytest.mark.parametrize("amount,want", [("0.0000004", 4e-06), ("1e-15", 1e-14), ("0.1", 1.0)])
+def test_totals_lose_no_digits(feed, amount, want):
+    tables = star.build(feed(*[{"sale_total_price": amount, "product_rating": amount,
+                                "product_price": amount}] * 10))
+    columns = {"product_sales": "total_revenue", "customer_sales": "total_spent",
+               "time_sales": "total_sales", "store_sales": "total_revenue",
+               "supplier_sales": "total_revenue", "product_quality": "total_revenue"}
+    for mart, column in columns.items():
+        row = getattr(marts, mart)(tables).first()
+        assert row[column] == pytest.approx(want, rel=1e-12), mart
+    assert marts.product_sales(tables).first()["avg_rating"] == pytest.approx(float(amount))
+    assert marts.supplier_sales(tables).first()["avg_product_price"] == pytest.approx(float(amount))
+
+
+def test_sums_do_not_depend_on_the_order_of_rows(feed):
+    amounts = [{"sale_total_price": a} for a in ("0.1", "0.2", "0.3", "1e9", "0.00000001")] * 5
+    found = {marts.store_sales(star.build(feed(*own))).first()["total_revenue"]
+             for own in (amounts, amounts[::-1], sorted(amounts, key=str))}
+    assert found == {5 * 1e9 + 3.00000005}
