@@ -24,15 +24,16 @@ from __future__ import annotations
 
 import base64
 import math
-import uuid
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from salesloom.llm.common import binaries, in_chunks, remainder, stage
+from salesloom.llm.common import binaries, in_chunks, lean, remainder, stage
 
 BLOCK_BYTES = 16_000_000
 LONGEST_ARRAY_WORD = 48
@@ -195,26 +196,36 @@ class _Numbers(dict):
         return n
 
 
+def _packed(which: np.ndarray, times: np.ndarray) -> bytes:
+    """Ascending word numbers, as differences, and their counts."""
+    steps = np.diff(which, prepend=0).astype("<u4")
+    return zlib.compress(steps.tobytes() + times.astype("<u4").tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    both = np.frombuffer(zlib.decompress(data), "<u4").astype(np.int64).reshape(2, -1)
+    return np.cumsum(both[0]), both[1]
+
+
 BLOCKS = (
-    "is_word boolean, block long, doc_id long, held_out boolean, n_words long, numbers binary, "
-    "counts binary, number int, word binary, trained long"
+    "is_word boolean, block long, doc_id long, held_out boolean, counts binary, "
+    "number int, word binary, trained long"
 )
 
 
 def _count_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows for the documents of a block, then rows for its distinct words."""
-    for chunk in in_chunks(batches, "text", BLOCK_BYTES):
-        block = uuid.uuid4().int >> 65
+    task = TaskContext.get().partitionId()
+    for k, chunk in enumerate(in_chunks(batches, "text", BLOCK_BYTES)):
+        block = (task << 24) + k
         known = _Numbers()
         held = chunk.column("held_out").to_pylist()
-        n_words, numbers, counts = [], [], []
+        counts = []
         trained = np.zeros(0, np.int64)
         for text, out in zip(binaries(chunk.column("text")), held):
             own = np.array(list(map(known.__getitem__, text.lower().split())), np.int64)
             which, times = np.unique(own, return_counts=True)
-            n_words.append(len(own))
-            numbers.append(which.astype(np.uint32).tobytes())
-            counts.append(times.astype(np.uint32).tobytes())
+            counts.append(_packed(which, times))
             if not out and len(which):
                 if len(trained) < len(known):
                     trained = np.concatenate([trained, np.zeros(len(known), np.int64)])
@@ -225,7 +236,6 @@ def _count_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield _rows(
             docs, is_word=pa.array([False] * docs), block=pa.array([block] * docs, pa.int64()),
             doc_id=chunk.column("doc_id"), held_out=chunk.column("held_out"),
-            n_words=pa.array(n_words, pa.int64()), numbers=pa.array(numbers, pa.binary()),
             counts=pa.array(counts, pa.binary()),
         )
         words = list(known)
@@ -242,8 +252,7 @@ def _count_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 _TYPES = {
     "is_word": pa.bool_(), "block": pa.int64(), "doc_id": pa.int64(), "held_out": pa.bool_(),
-    "n_words": pa.int64(), "numbers": pa.binary(), "counts": pa.binary(), "number": pa.int32(),
-    "word": pa.binary(), "trained": pa.int64(),
+    "counts": pa.binary(), "number": pa.int32(), "word": pa.binary(), "trained": pa.int64(),
 }
 
 
@@ -325,8 +334,7 @@ def _score_block(tokens: int, distinct: int, ends: int, end_log10: float):
         base = np.log10(trained + 1.0) - rest
         known = trained > 0
         n_tokens, n_known, base_score, score = [], [], [], []
-        for which, times in zip(docs.column("numbers").to_pylist(), docs.column("counts").to_pylist()):
-            which, times = np.frombuffer(which, np.uint32), np.frombuffer(times, np.uint32).astype(np.int64)
+        for which, times in map(_unpacked, docs.column("counts").to_pylist()):
             n_tokens.append(int(times.sum()) + 1)
             n_known.append(int(times[known[which]].sum()) + (ends > 0))
             base_score.append(float((times * base[which]).sum()) + math.log10(ends + 1) - rest)
@@ -342,7 +350,7 @@ def _score_block(tokens: int, distinct: int, ends: int, end_log10: float):
 
 def score(
     documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
-    folds: int = 7, held_out_fold: int = 2, rounds: int = 3,
+    folds: int = 7, held_out_fold: int = 2, rounds: int = 2,
     vocabulary: str = "byte_bpe_50k.tiktoken",
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row.
@@ -357,9 +365,9 @@ def score(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
         held.alias("held_out"),
     )
-    blocks = stage(rows.mapInArrow(_count_blocks, BLOCKS), "lm-blocks")
+    blocks = stage(rows.mapInArrow(lambda batches: lean(_count_blocks(batches)), BLOCKS), "lm-blocks")
     docs = blocks.where(~F.col("is_word")).select(
-        "block", "doc_id", "held_out", "n_words", "numbers", "counts"
+        "block", "doc_id", "held_out", "counts"
     )
     words = blocks.where(F.col("is_word")).select("block", "number", "word", "trained")
     counted = stage(
