@@ -37,11 +37,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that hold a ten-word window of a benchmark item."""
-    found = decontaminate.find(docs, table(spark, sf_dir, "benchmark"))
+    found = decontaminate.find(docs, table(spark, sf_dir, "benchmark"), remove=True)
     rest = found.where(
         (F.size("spans") == 0) | (decontaminate.hit_words(F.col("spans")) < F.col("n_words"))
     )
-    return _with_length(decontaminate.remove(rest), docs)
+    return _with_length(rest, docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -58,6 +60,22 @@ def in_chunks(
         yield batch.slice(first)
 
 
+def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task; afterwards its freed memory is released."""
+    yield from batches
+    release()
+
+
+def release() -> None:
+    """Give freed memory back to the machine: a worker outlives its tasks, and shares the
+    executor's memory with what runs next."""
+    for cache in Remembered.all:
+        cache.clear()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def binaries(column: pa.Array) -> list[bytes]:
     """Texts as UTF-8 bytes; NULL is empty."""
     return column.cast(pa.binary()).fill_null(b"").to_pylist()
@@ -73,10 +91,13 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 class Remembered(dict):
-    """A function's results by argument; emptied when ``most`` are held."""
+    """A function's results by argument; emptied when ``most`` are held, and after a task."""
+
+    all: list[Remembered] = []
 
     def __init__(self, function: Callable, most: int = 1 << 20):
         super().__init__()
+        self.all.append(self)
         self.function, self.most = function, most
 
     def __missing__(self, key):

@@ -18,13 +18,12 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from salesloom.llm.common import binaries, in_chunks, stage
+from salesloom.llm.common import binaries, in_chunks, lean, stage
 
-SHARD_BYTES = 8_000_000
+SHARD_BYTES = 4_000_000
 SAMPLE = 8
 # Words of benchmark text in one block.
 BLOCK_WORDS = 1_000_000
@@ -252,7 +251,7 @@ def merged(first: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.stack([first[new], end[last]], 1)
 
 
-def _search(block):
+def _search(block, cut: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = windows_of(block.value[0], block.value[1])
         for chunk in in_chunks(batches, "text", SHARD_BYTES):
@@ -265,6 +264,9 @@ def _search(block):
                     both = np.concatenate([np.array(before, np.int64).reshape(-1, 2), spans[i]])
                     spans[i] = merged(both[:, 0], both[:, 1])
                 items[i] = {known.items[k] for k in items[i]} | set(named)
+            if cut:
+                texts = pa.array(map(_without, chunk.column(cut).to_pylist(), spans), pa.string())
+                chunk = chunk.set_column(chunk.schema.get_field_index(cut), cut, texts)
             columns = [
                 *[chunk.column(c) for c in chunk.schema.names if c not in OWN],
                 pa.array(n_words, pa.int64()),
@@ -274,7 +276,7 @@ def _search(block):
             names = [c for c in chunk.schema.names if c not in OWN]
             yield pa.RecordBatch.from_arrays(columns, [*names, *OWN])
 
-    return run
+    return lambda batches: lean(run(batches))
 
 
 OWN = ("n_words", "spans", "items")
@@ -300,14 +302,15 @@ def blocks_of(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tu
 
 def find(
     documents: DataFrame, benchmark: DataFrame, window: int = 10,
-    text: str = "text", item_id: str = "item_id", item_text: str = "text",
+    text: str = "text", item_id: str = "item_id", item_text: str = "text", remove: bool = False,
 ) -> DataFrame:
     """``documents`` with n_words, spans (first and end word of each merged hit, flat) and items
     (ids of items with a window in the text, sorted as strings).
 
     Columns of these names in the input are replaced. A NULL or empty text has no words; an
     item without words is never found; an item of fewer than ``window`` words is one window;
-    equal items are all reported. Empty tables on either side are allowed.
+    equal items are all reported. Empty tables on either side are allowed. With ``remove`` the
+    spans are cut out of the text, first word to last; they still count words of the whole text.
     """
     spark = documents.sparkSession
     found = documents.drop(*OWN).withColumn("text", F.col(text).cast("string")).withColumns({
@@ -316,13 +319,15 @@ def find(
         "items": F.array().cast("array<string>"),
     })
     schema = found.schema
-    for k, items in enumerate(blocks_of(benchmark, item_id, item_text)):
-        if k:
-            found = stage(found, "spans")
-        sent = spark.sparkContext.broadcast((items, window))
-        order = [f for f in schema if f.name not in OWN] + [f for f in schema if f.name in OWN]
-        found = found.mapInArrow(_search(sent), type(schema)(order))
-    return found
+    order = type(schema)(
+        [f for f in schema if f.name not in OWN] + [f for f in schema if f.name in OWN]
+    )
+    last = None
+    for items in blocks_of(benchmark, item_id, item_text):
+        if last is not None:
+            found = stage(found.mapInArrow(_search(last, None), order), "spans")
+        last = spark.sparkContext.broadcast((items, window))
+    return found.mapInArrow(_search(last, "text" if remove else None), order)
 
 
 def hit_words(spans: Column) -> Column:
@@ -335,24 +340,15 @@ def hit_words(spans: Column) -> Column:
     )
 
 
-def _without(texts: pd.Series, spans: pd.Series) -> pd.Series:
-    out = []
-    for text, own in zip(texts, spans):
-        if text is None or not len(own):
-            out.append(text)
-            continue
-        raw = text.encode()
-        begins, ends = word_places(raw)
-        kept, at = [], 0
-        for first, end in np.asarray(own).reshape(-1, 2).tolist():
-            kept.append(raw[at : begins[first]])
-            at = int(ends[end - 1])
-        kept.append(raw[at:])
-        out.append(b"".join(kept).decode())
-    return pd.Series(out, dtype="object")
-
-
-def remove(found: DataFrame, text: str = "text") -> DataFrame:
-    """The result of ``find`` with the spans cut out of the text, first word to last."""
-    cut = F.pandas_udf(_without, "string")
-    return found.withColumn(text, cut(F.col(text), F.col("spans")))
+def _without(text: str | None, spans: np.ndarray) -> str | None:
+    """A text without the words from the first to the last of each span."""
+    if text is None or not len(spans):
+        return text
+    raw = text.encode()
+    begins, ends = word_places(raw)
+    kept, at = [], 0
+    for first, end in spans.tolist():
+        kept.append(raw[at : begins[first]])
+        at = int(ends[end - 1])
+    kept.append(raw[at:])
+    return b"".join(kept).decode()

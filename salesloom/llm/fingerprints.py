@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from salesloom.llm.common import in_chunks, mix64
+from salesloom.llm.common import in_chunks, lean, mix64
 
 WINDOW = 32
 LEAST, USUAL, GREATEST = 8, 32, 255
@@ -211,4 +211,4 @@ def compare_with_next(documents: DataFrame, doc_id: str = "doc_id", text: str =
     )
     return ordered.select(
         "doc_id", "text", "stretch", (F.col("extra") > 0).alias("extra")
-    ).mapInArrow(_compare, COMPARED)
+    ).mapInArrow(lambda batches: lean(_compare(batches)), COMPARED)

@@ -20,11 +20,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from salesloom.llm.common import remainder
+from salesloom.llm.common import release, remainder
 
 UNKNOWN = "und"
 CUT = 512
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 1_500_000
 
 
 def sample(
@@ -242,6 +242,7 @@ def language(text: Column, samples: dict[str, list[str]]) -> Column:
         for texts in batches:
             langs, scores = parser.predict(texts.fillna("").tolist())
             yield pd.DataFrame({"lang": langs, "score": scores})
+        release()
 
     return predict(text.cast("string"))
 

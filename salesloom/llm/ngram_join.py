@@ -37,7 +37,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
-from salesloom.llm.common import Remembered, binaries, in_chunks, mix64, stage
+from salesloom.llm.common import Remembered, binaries, in_chunks, lean, mix64, stage
 from salesloom.llm.components import components
 
 CHUNK_BYTES = 2_000_000
@@ -151,7 +151,7 @@ def signatures(shingles: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarr
 
 
 def _described(words: int, num: int, den: int):
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(num, den)
         seen: set[bytes] = set()  # a class emits its signatures once per task
         for chunk in in_chunks(batches, "text", CHUNK_BYTES):
@@ -177,7 +177,7 @@ def _described(words: int, num: int, den: int):
                 ["doc_id", "n_shingles", "digest", "signatures", "tags"],
             )
 
-    return describe
+    return lambda batches: lean(described(batches))
 
 
 def _sets_of(words: int):
@@ -191,7 +191,7 @@ def _sets_of(words: int):
                 [chunk.column("digest"), pa.array(sets, pa.binary())], ["digest", "shingles"]
             ).filter(pa.array(own, pa.bool_()))
 
-    return read
+    return lambda batches: lean(read(batches))
 
 
 def _similar(num: int, den: int):
@@ -211,7 +211,7 @@ def _similar(num: int, den: int):
                 ["u", "v", "linked"],
             )
 
-    return compare
+    return lambda batches: lean(compare(batches))
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:

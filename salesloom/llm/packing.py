@@ -21,9 +21,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from salesloom.llm.common import in_chunks, stage
+from salesloom.llm.common import in_chunks, lean, stage
 
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 2_000_000
 # Pieces in a block on average.
 BLOCK_PIECES = 8192
 # A sequence this full is finished in the first pass.
@@ -106,7 +106,7 @@ def _pieces(capacity: int, vocabulary: str, end_id: int):
                 ["doc_id", "piece", "start", "length", "ids_crc32"],
             )
 
-    return cut
+    return lambda batches: lean(cut(batches))
 
 
 def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:

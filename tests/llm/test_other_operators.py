@@ -100,7 +100,7 @@ def test_index_finds_and_locates_every_occurrence():
 def test_spans_are_cut_out_of_the_text(spark, documents):
     docs = documents([(1, "Keep this. one two, THREE four! And this."), (2, None), (3, "one two three four")])
     bench = benchmark_of(spark, [(1, "one two three four")])
-    out = {r["doc_id"]: r["text"] for r in decontaminate.remove(decontaminate.find(docs, bench, 4)).collect()}
+    out = {r["doc_id"]: r["text"] for r in decontaminate.find(docs, bench, 4, remove=True).collect()}
     assert out == {1: "Keep this. ! And this.", 2: None, 3: ""}
 
 
