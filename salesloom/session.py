@@ -79,11 +79,15 @@ def file_state(spark: SparkSession, names: Sequence[str]) -> tuple:
     return tuple(state)
 
 
+def remove_folder(spark: SparkSession, name: str) -> None:
+    path, system = _hadoop_path(spark, name)
+    system.delete(path, True)
+
+
 def remove_materialized(spark: SparkSession) -> None:
     """Delete what ``materialize`` has written in this application."""
     for name in _WRITTEN.pop(spark.sparkContext.applicationId, []):
-        path, system = _hadoop_path(spark, name)
-        system.delete(path, True)
+        remove_folder(spark, name)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
