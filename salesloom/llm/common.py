@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from salesloom.session import materialize
+from salesloom.session import materialize, remove_folder
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -32,6 +32,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, f"llm-{name}")
 
 
+def unstage(table: DataFrame) -> None:
+    """Delete a staged table that nothing reads any more."""
+    for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+        remove_folder(table.sparkSession, folder)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

@@ -37,10 +37,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
-from salesloom.llm.common import Remembered, binaries, in_chunks, lean, mix64, stage
+from salesloom.llm.common import Remembered, binaries, in_chunks, lean, mix64, stage, unstage
 from salesloom.llm.components import components
 
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 # Groups by rare shingles of up to so many members are compared pair by pair, where their ranks
 # allow it; larger ones first in so many rounds of stars.
 PAIRED, STAR_ROUNDS = 4096, 4
@@ -264,13 +264,15 @@ def near_duplicates(
     rows = documents.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")
     )
-    described = stage(rows.mapInArrow(
+    signed = stage(rows.mapInArrow(
         _described(words, num, den),
         "doc_id long, n_shingles long, digest binary, signatures array<bigint>, tags array<bigint>",
     ), "shingles")
+    described = stage(signed.select("doc_id", "n_shingles", "digest"), "digests")
+    members = stage(_shared(signed), "shared")
+    unstage(signed)  # by far the largest table, and read for the last time
     classes = described.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("least"))
 
-    members = stage(_shared(described), "shared")
     edges = None
     roots = None
     if members.take(1):
