@@ -170,11 +170,11 @@ def _described(words: int, num: int, den: int):
                     tagged.append(None)
             yield pa.RecordBatch.from_arrays(
                 [
-                    chunk.column("doc_id"), pa.array(sizes, pa.int64()),
+                    chunk.column("doc_id"), chunk.column("at"), pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()), pa.array(signed, pa.list_(pa.int64())),
                     pa.array(tagged, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "digest", "signatures", "tags"],
+                ["doc_id", "at", "n_shingles", "digest", "signatures", "tags"],
             )
 
     return lambda batches: lean(described(batches))
@@ -248,6 +248,11 @@ def _shared(described: DataFrame) -> DataFrame:
     ).select("signature", "digest", "size")
 
 
+def _at(doc_id: str, text: str) -> Column:
+    """A hash of the row's id and text, by which the row is found again; the id can be NULL."""
+    return F.xxhash64(F.col(doc_id).cast("long"), F.col(text).cast("string"))
+
+
 def near_duplicates(
     documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
     words: int = 5, num: int = 80, den: int = 100,
@@ -263,21 +268,23 @@ def near_duplicates(
     """
     rows = documents.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")
-    )
+    ).withColumn("at", _at("doc_id", "text"))
     signed = stage(rows.mapInArrow(
         _described(words, num, den),
-        "doc_id long, n_shingles long, digest binary, signatures array<bigint>, tags array<bigint>",
+        "doc_id long, at long, n_shingles long, digest binary, signatures array<bigint>, tags array<bigint>",
     ), "shingles")
-    described = stage(signed.select("doc_id", "n_shingles", "digest"), "digests")
+    described = stage(signed.select("doc_id", "at", "n_shingles", "digest"), "digests")
     members = stage(_shared(signed), "shared")
     unstage(signed)  # by far the largest table, and read for the last time
-    classes = described.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("least"))
+    classes = described.where("n_shingles > 0").groupBy("digest").agg(
+        F.min("doc_id").alias("least"), F.min("at").alias("at")
+    )
 
     edges = None
     roots = None
     if members.take(1):
         candidates = members.select("digest").distinct()
-        source = stage(classes.where("least is not null").join(candidates, "digest"), "candidates")
+        source = stage(classes.select("digest", "at").join(candidates, "digest"), "candidates")
         sets = stage(_candidate_sets(rows, described, source, words), "sets")
         edges, roots = _links(members, sets, num, den)
 
@@ -303,19 +310,20 @@ def _candidate_sets(
 ) -> DataFrame:
     """The shingles of the classes in ``source``, read again from one text of each.
 
-    Only texts whose id falls into a bucket of some candidate are shuffled. The bucket table
-    has at most FILTER_BUCKETS rows whatever the input, so it can be broadcast.
+    A text is found by the hash of its row, so a class needs no id. Only texts whose hash falls
+    into a bucket of some candidate are shuffled. The bucket table has at most FILTER_BUCKETS
+    rows whatever the input, so it can be broadcast.
     """
-    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BUCKETS))
-    buckets = source.select(F.col("least").alias("doc_id")).select(bucket.alias("bucket")).distinct()
-    near = rows.withColumn("bucket", bucket).join(F.broadcast(buckets), "bucket", "left_semi")
-    texts = near.join(
-        source.select(F.col("least").alias("doc_id"), F.col("digest").alias("wanted")), "doc_id"
-    ).select(F.col("wanted").alias("digest"), "text")
-    # An id that stands for several texts can bring a text of another class: dropped there.
+    bucket = F.pmod("at", F.lit(FILTER_BUCKETS)).alias("bucket")
+    buckets = source.select(bucket).distinct()
+    near = rows.select("*", bucket).join(F.broadcast(buckets), "bucket", "left_semi")
+    repeated = bool(described.groupBy("at").count().where("count > 1").take(1))
+    if repeated:  # one of equal rows, before they meet by their hash
+        near = near.select("doc_id", "text", "at").distinct()
+    texts = near.join(source, "at").select("digest", "text")
+    # Rows of one hash can bring a text of another class: dropped there.
     found = texts.mapInArrow(_sets_of(words), "digest binary, shingles binary")
-    repeated = described.groupBy("doc_id", "digest").count().where("count > 1")
-    if repeated.take(1):  # else each class is read once
+    if repeated:  # else each class is read once
         return found.groupBy("digest").agg(F.first("shingles").alias("shingles"))
     return found
 

@@ -153,3 +153,18 @@ def test_edge_rows(edge, empty, documents):
     assert kept.where("doc_id = 7").count() == 0
     assert ngram_join.near_duplicates(empty).count() == 0
     assert ngram_join.first_of_groups(empty).count() == 0
+
+
+def test_near_copies_and_bridges_without_ids(documents):
+    def text(name, own=()):
+        return " ".join([f"{name}{i}" for i in range(40)] + list(own))
+
+    a, bridge, b = text("p", ["x1", "x2", "x3"]), text("p", ["x1", "y1"]), text("p", ["y1", "y2", "y3", "y4"])
+    rows = [(21, a), (None, bridge), (22, b), (23, text("q")), (None, text("q", ["z"])),
+            (None, text("r")), (None, text("r", ["z"])), (None, text("r", ["z"])), (24, text("s"))]
+    near = [shingles(t, 5) for t in (a, bridge, b)]
+    alike = [100 * len(x & y) >= 85 * len(x | y) for x, y in zip(near, near[1:] + near[:1])]
+    assert alike == [True, True, False]  # a and b are one group through the text without id
+    out = ngram_join.near_duplicates(documents(rows), words=5, num=85, den=100).collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in out) == [
+        (0, 0), (0, 0), (0, 0), (0, 21), (0, 23), (21, 21), (22, 21), (23, 23), (24, 24)]
