@@ -266,6 +266,16 @@ def near_duplicates(
     repeated results, a NULL id can be a member but never names a component unless the
     component holds nothing else. Other columns are not read.
     """
+    return _grouped(documents, doc_id, text, words, num, den).select(
+        "doc_id", "n_shingles", "component_id"
+    )
+
+
+def _grouped(
+    documents: DataFrame, doc_id: str, text: str, words: int, num: int, den: int
+) -> DataFrame:
+    """The rows of ``near_duplicates`` with the hash of each row (at) and the class that stands
+    for its component (root), which tells components of one id, or of none, apart."""
     rows = documents.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")
     ).withColumn("at", _at("doc_id", "text"))
@@ -293,13 +303,13 @@ def near_duplicates(
         labels = labelled.join(roots.select(F.col("node").alias("digest"), "root"), "digest", "left")
         labels = labels.withColumn("root", F.coalesce("root", "digest"))
         smallest = labels.groupBy("root").agg(F.min("least").alias("component_id"))
-        labelled = labels.join(smallest, "root").select("digest", "component_id")
+        labelled = labels.join(smallest, "root").select("digest", "root", "component_id")
     else:
-        labelled = labelled.select("digest", F.col("least").alias("component_id"))
-    return described.select("doc_id", "n_shingles", "digest").join(
-        labelled, "digest", "left"
-    ).select(
-        "doc_id", "n_shingles",
+        labelled = labelled.select(
+            "digest", F.col("digest").alias("root"), F.col("least").alias("component_id")
+        )
+    return described.join(labelled, "digest", "left").select(
+        "doc_id", "at", "n_shingles", "root",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
         .alias("component_id"),
     )
@@ -453,17 +463,21 @@ def _links(members: DataFrame, sets: DataFrame, num: int, den: int) -> tuple[Dat
 
 
 def first_of_groups(documents: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """``documents`` with one row of each group of near duplicates, that with the smallest id.
+    """``documents`` with one row of each group of near duplicates, one with the smallest id.
 
-    Rows without words are no duplicates of anything and stay. Rows that repeat an id are told
-    apart by their text; equal ones are one row.
+    Rows without words are no duplicates of anything and stay. Rows that repeat an id, or have
+    none, are told apart by their text: a group keeps one of those with its smallest id; equal
+    rows are one row.
     """
-    groups = near_duplicates(documents, words=words, num=num, den=den)
-    kept = groups.where(
-        F.col("doc_id").eqNullSafe(F.col("component_id"))
-    ).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"))
-    kept = kept.withColumnRenamed("doc_id", "_kept")
-    chosen = documents.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")))
+    groups = _grouped(documents, "doc_id", "text", words, num, den)
+    alone = F.when(F.col("n_shingles") == 0, F.col("at"))  # no words: a group of its own
+    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(
+        "root", "doc_id", alone.alias("alone")
+    ).agg(F.min("at").alias("_at"), F.count(F.lit(1)).alias("_rows"))
+    kept = kept.select(F.col("doc_id").alias("_kept"), "_at", "_rows")
+    chosen = documents.withColumn("_row", _at("doc_id", "text")).join(
+        kept, (F.col("_row") == F.col("_at")) & F.col("doc_id").eqNullSafe(F.col("_kept"))
+    )
     once = chosen.where("_rows = 1").select(*documents.columns)
     repeated = chosen.where("_rows > 1").select(*documents.columns).dropDuplicates(["doc_id", "text"])
     return once.unionByName(repeated)

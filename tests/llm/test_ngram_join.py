@@ -168,3 +168,22 @@ def test_near_copies_and_bridges_without_ids(documents):
     out = ngram_join.near_duplicates(documents(rows), words=5, num=85, den=100).collect()
     assert sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in out) == [
         (0, 0), (0, 0), (0, 0), (0, 21), (0, 23), (21, 21), (22, 21), (23, 23), (24, 24)]
+
+
+def test_groups_keep_one_row_where_ids_repeat_or_miss(documents):
+    def text(name, *own):
+        return " ".join([f"{name}{i}" for i in range(40)] + list(own))
+
+    rows = [
+        (7, text("a")), (7, text("b", "x")), (3, text("b")),  # the second is a copy of id 3
+        (None, text("c")), (None, text("d")), (4, text("d")), (None, text("b", "y")),
+        (None, text("e")), (None, text("e", "x")), (None, text("e")),  # a group without ids
+        (8, text("f")), (8, text("f", "x")), (8, text("f", "x")),  # a group of one id
+        (None, ""), (None, None), (9, " "),
+    ]
+    kept = [(r["doc_id"], r["text"]) for r in ngram_join.first_of_groups(documents(rows)).collect()]
+    assert len(kept) == 9
+    assert {r for r in kept if r[1] is None or r[1][:1] not in ("e", "f")} == {
+        (7, text("a")), (3, text("b")), (None, text("c")), (4, text("d")),
+        (None, ""), (None, None), (9, " ")}
+    assert [d for d, t in kept if t and t[0] in "ef"].count(None) == 1
