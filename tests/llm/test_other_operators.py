@@ -180,6 +180,18 @@ def test_scores_add_up_to_at_most_one(documents, pieces):
     assert 0.5 < sum(10 ** (got[i] - end) for i in range(len(every))) + 10**end <= 1.0
 
 
+def test_piece_scores_take_three_rounds_of_em(documents):
+    rows = [(i, " ".join(f"{a}{b}ing" for a in ("run", "walk", "un") for b in ("ner", "kable", str(i)))) for i in range(40)]
+    docs = documents(rows)
+
+    def scores(**given):
+        return [r["score"] for r in lm_score.score(docs, **given).orderBy("doc_id").collect()]
+
+    usual = scores()
+    assert usual == pytest.approx(scores(rounds=3), rel=1e-9)
+    assert usual != pytest.approx(scores(rounds=2), rel=1e-9)
+
+
 def test_score_edges(edge, empty, documents):
     assert lm_score.score(edge).count() == len(EDGE_ROWS)
     assert lm_score.score(empty).count() == 0
