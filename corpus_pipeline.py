@@ -2,7 +2,7 @@
 
 ``run`` applies STAGES to the documents of a folder. All stages but the last return the columns
 of documents; a stage's decisions take effect in its rows: language ID drops documents without
-a recognisable language, the n-gram join keeps one document of each group of near duplicates,
+a letter and labels those without a label, the n-gram join keeps one document of each group of near duplicates,
 decontamination cuts benchmark passages out of the texts (a text that is nothing else goes),
 personal data is replaced by its kind in brackets, and packing returns the pieces of sequences.
 An empty table passes through every stage as an empty table.
@@ -22,12 +22,14 @@ from salesloom.llm.common import remainder, ship, stage, table  # noqa: E402
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in some learned language; a missing label becomes the predicted one."""
+    """Documents with a letter; a missing label becomes the predicted one, if any was learned."""
     ship(spark)
     samples = langid.sample(docs.where(remainder(F.col("doc_id"), 5) != 0))
     found = docs.withColumn("_found", langid.language(F.col("text"), samples))
-    kept = found.where(F.col("_found.lang") != langid.UNKNOWN)
-    return kept.withColumn("lang", F.coalesce("lang", "_found.lang")).select(*docs.columns)
+    predicted = F.nullif(F.col("_found.lang"), F.lit(langid.UNKNOWN))
+    # Without labels nothing is predicted: a text with letters stays all the same.
+    kept = found.where(predicted.isNotNull() | F.col("text").rlike(r"\p{L}"))
+    return kept.withColumn("lang", F.coalesce("lang", predicted)).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

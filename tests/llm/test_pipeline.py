@@ -47,6 +47,12 @@ def test_language_drops_only_texts_without_letters(stages):
     assert rows(stages[1]) == want
 
 
+def test_language_keeps_a_corpus_without_labels(spark, sf_dir, documents):
+    docs = documents([(1, "some words", None), (2, "12 !", None), (3, None, None), (4, "日本", None)])
+    kept = corpus_pipeline.language_id(spark, docs, sf_dir).collect()
+    assert sorted((r["doc_id"], r["lang"]) for r in kept) == [(1, None), (4, None)]
+
+
 def test_one_of_each_group_stays(stages):
     before = rows(stages[1])
     keep = {d for d, _, root in brute(before, 5, 80, 100) if d == root}
