@@ -284,11 +284,12 @@ OWN = ("n_words", "spans", "items")
 
 def blocks_of(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[str, bytes]]]:
     """The items with words, in blocks of BLOCK_WORDS words (or one item), one block at a time
-    in the driver. Blocks are dealt by hash, so repeated texts do not gather."""
+    in the driver. Equal rows are one, and blocks are dealt by hash, so repeated texts do not
+    gather."""
     rows = benchmark.select(
         F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"),
         F.col(text).cast("string").alias("text"),
-    ).where(F.col("text").isNotNull())
+    ).where(F.col("text").isNotNull()).distinct()
     size = rows.agg(F.sum(F.length("text")).alias("chars")).first()["chars"] or 0
     n = 1 + size // (6 * BLOCK_WORDS)
     if n > 1:

@@ -104,6 +104,14 @@ def test_spans_are_cut_out_of_the_text(spark, documents):
     assert out == {1: "Keep this. ! And this.", 2: None, 3: ""}
 
 
+def test_repeated_benchmark_rows_are_held_once(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 20)
+    items = [("1", "one text of a few words")] * 200 + [("2", "one text of a few words"), ("3", "another")]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    held = [row for block in decontaminate.blocks_of(bench, "item_id", "text") for row in block]
+    assert sorted(held) == sorted((i, t.encode()) for i, t in set(items))
+
+
 def test_decontamination_edges(spark, edge, empty):
     bench = benchmark_of(spark, [(1, "word " * 12), (2, None), (3, ""), (3, "x")])
     found = decontaminate.find(edge, bench)
