@@ -6,12 +6,15 @@ from salesloom.llm import revisits
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
-NGRAM_JACCARD = rf"""
+def _components(words: int, more: str = "") -> str:
+    """Documents linked by 0.85 similarity of their word shingles, by all pairs and reachability."""
+    return rf"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
 ), sets AS (
   SELECT doc_id, CASE
-    WHEN len(w) >= 4 THEN list_distinct([array_to_string(w[i:i + 3], ' ') for i in range(1, len(w) - 2)])
+    WHEN len(w) >= {words} THEN list_distinct(
+      [array_to_string(w[i:i + {words - 1}], ' ') for i in range(1, len(w) - {words - 2})])
     WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM words
 ), single AS (
   SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
@@ -25,10 +28,40 @@ WITH RECURSIVE words AS (
   SELECT doc_id AS x, doc_id AS y FROM sets UNION
   SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
 )
-SELECT sets.doc_id, len(s)::BIGINT AS n_shingles, min(reach.y) AS component_id
+SELECT sets.doc_id, len(s)::BIGINT AS n_shingles, min(reach.y) AS component_id{more}
 FROM sets JOIN reach ON sets.doc_id = reach.x GROUP BY sets.doc_id, s
 """
 
+
+NGRAM_JACCARD = _components(4)
+MINHASH = _components(3, ", sets.doc_id = min(reach.y) AS kept")
+
+_DIGEST = "sha256('1:' || doc_id)"
+
+
+def _draw(number: int) -> str:
+    return f"('0x' || substr({_DIGEST}, {8 * number - 7}, 8))::BIGINT"
+
+
+MIDDLE = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n,
+    {_draw(1)} AS h1, {_draw(2)} AS h2, {_draw(3)} AS h3, {_draw(4)} AS h4 FROM documents
+), cuts AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90
+      THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d
+), pieces AS (
+  SELECT *, substr(t, 1, a) AS prefix, substr(t, a + 1, b - a) AS middle, substr(t, b + 1) AS suffix FROM cuts
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE t END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM pieces
+"""
+
 DECONTAMINATE = rf"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
@@ -97,4 +130,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_decontaminate": DECONTAMINATE,
     "op5_secrets": SECRETS,
     "op6_revisits": revisits.ORACLE,
+    "op11_minhash": MINHASH,
+    "op12_middle": MIDDLE,
 }

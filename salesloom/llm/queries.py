@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salesloom.llm import (
-    decontaminate, fingerprints, langid, lm_score, ngram_join, packing, pii, placement, revisits,
-    secrets,
+    conversations, decontaminate, fingerprints, langid, lm_score, middle, minhash, ngram_join, packing,
+    pii, placement, revisits, secrets,
 )
 from salesloom.llm.common import table
 from salesloom.llm.oracles import ORACLE_SQL as ORACLE_SQL
@@ -83,6 +83,21 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(
+        table(spark, sf_dir, "documents"), words=3, num=85, den=100
+    )
+
+
+def op12_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return middle.report(middle.transform(table(spark, sf_dir, "documents")))
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.report_of_all(rows, conversations.repair(conversations.damage(rows)))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -94,4 +109,7 @@ QUERIES: dict[str, Query] = {
     "op8_shards": op8_shards,
     "op9_pack": op9_pack,
     "op10_language": op10_language,
+    "op11_minhash": op11_minhash,
+    "op12_middle": op12_middle,
+    "op13_conversations": op13_conversations,
 }
