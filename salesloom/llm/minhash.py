@@ -14,14 +14,14 @@ other but with one hub, the member with the most bands, and the links make compo
 large and small stars). Where a band still holds two components, as near copies of one template do
 that are not similar enough, its classes are grouped anew by their rarest shingles: two similar
 sets share one of the few rarest of each, so a template's own words bring nobody together.
-These groups are compared with hubs again, 1, 4, 16 and so on at a time, until no group
+These groups are compared with hubs again, 16, 256 and so on at a time, until no group
 holds two components. Nothing is left out on the way: a pair is skipped only if it is connected
 already or a bound rules it out.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from math import comb
 
 import numpy as np
@@ -29,6 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
+from salesloom.llm import hubs
 from salesloom.llm.common import binaries, in_chunks, lean, mix64, stage, unstage
 from salesloom.llm.ngram_join import shingle_sets
 from salesloom.llm.stars import components
@@ -37,7 +38,7 @@ ROWS, BANDS = 5, 40
 MISSED = 1e-10  # share of similar pairs that the test of signatures may lose
 CHUNK_BYTES = 1_000_000
 AT_ONCE = 256  # shingles hashed in one step
-RAYS = 2048  # a hub's payload is repeated for every so many members
+HUBS = 16  # factor by which hubs at a time grow in groups by rare shingles
 FILTER_BITS = 27  # the filter of candidate texts has at most 2 ** 27 bits, 16 MB
 
 _seeds = mix64(np.arange(1, 2 * ROWS * BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -104,10 +105,7 @@ def _described(words: int):
 DESCRIBED = "doc_id long, at long, n_shingles long, digest binary, signature binary, bands array<bigint>"
 
 
-# --- comparisons with hubs --------------------------------------------------------
-
-
-def _agreeing(least: int) -> Callable[[bytes, bytes], bool]:
+def _agreeing(least: int) -> hubs.Accept:
     def agree(a: bytes, b: bytes) -> bool:
         same = np.frombuffer(a, np.uint16) == np.frombuffer(b, np.uint16)
         return int(np.count_nonzero(same)) >= least
@@ -115,57 +113,6 @@ def _agreeing(least: int) -> Callable[[bytes, bytes], bool]:
     return agree
 
 
-def _similar(num: int, den: int) -> Callable[[bytes, bytes], bool]:
-    def similar(x: bytes, y: bytes) -> bool:
-        a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-        if len(a) > len(b):
-            a, b = b, a
-        at = np.searchsorted(b, a)
-        both = int(np.count_nonzero(b[np.minimum(at, len(b) - 1)] == a))
-        return den * both >= num * (len(a) + len(b) - both)
-
-    return similar
-
-
-def _judged(accept: Callable[[bytes, bytes], bool]):
-    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hub, payload = None, None
-        for batch in batches:
-            pairs = []
-            for v, u, found in zip(*[batch.column(c).to_pylist() for c in ("v", "u", "payload")]):
-                if u is None:
-                    hub, payload = v, found
-                elif accept(payload, found):
-                    pairs.append((u, hub))
-            us, vs = zip(*pairs) if pairs else ((), ())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"]
-            )
-
-    return lambda batches: lean(judged(batches))
-
-
-def _accepted(pairs: DataFrame, payloads: DataFrame, accept: Callable[[bytes, bytes], bool]) -> DataFrame:
-    """The pairs (member u, hub v) whose payloads ``accept`` takes.
-
-    A hub's payload travels once per RAYS members, which are dealt over as many groups, and comes
-    first in its group; so a task holds one payload at a time.
-    """
-    dealt = pairs.groupBy("v").agg(F.count(F.lit(1)).alias("n")).select(
-        "v", F.expr(f"1 + n div {RAYS}").alias("groups")
-    )
-    members = pairs.join(dealt, "v").select(
-        "v", "u", F.pmod(F.xxhash64("u"), F.col("groups")).alias("part")
-    ).join(payloads.select(F.col("cls").alias("u"), "payload"), "u").select("v", "part", "u", "payload")
-    hubs = dealt.join(payloads.select(F.col("cls").alias("v"), "payload"), "v").select(
-        "v", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("part"),
-        F.lit(None).cast("long").alias("u"), "payload",
-    )
-    return hubs.unionByName(members).repartition("v", "part").sortWithinPartitions(
-        "v", "part", F.col("u").asc_nulls_first()
-    ).select("v", "u", "payload").mapInArrow(_judged(accept), "u long, v long")
-
-
 # --- the operator -------------------------------------------------------------------
 
 
@@ -222,20 +169,31 @@ def near_duplicates(
     )
 
 
+GROUPS = ["grp", "cls", "size", "rank", "weight", "root"]
+
+
 def _members(classes: DataFrame) -> DataFrame:
-    """(grp, cls, size) of the bands that two classes share."""
+    """The bands that two classes share, as groups whose members are not connected yet."""
     rows = classes.select(F.explode("bands").alias("grp"), "cls", "size")
     shared = rows.groupBy("grp").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).where(
         "low < high"
     ).select("grp")
-    return rows.join(shared, "grp").select("grp", "cls", "size", F.lit(0).cast("long").alias("rank"))
+    return _weighed(rows.join(shared, "grp").withColumns({
+        "rank": F.lit(0).cast("long"), "root": F.col("cls"),
+    }))
+
+
+def _weighed(groups: DataFrame) -> DataFrame:
+    """With the number of groups of each class: the one that has the most makes the best hub."""
+    weights = groups.groupBy("cls").agg(F.count(F.lit(1)).alias("weight"))
+    return groups.join(weights, "cls").select(*GROUPS)
 
 
 def _roots(
     members: DataFrame, classes: DataFrame, digests: DataFrame, rows: DataFrame, words: int,
     num: int, den: int,
 ) -> DataFrame | None:
-    """(node, root) of the classes that links connect."""
+    """(node, root) of the classes that links connect; None if there are no links."""
     candidates = members.select("cls").distinct()
     signatures = stage(classes.join(candidates, "cls").select(
         "cls", F.col("signature").alias("payload")
@@ -244,77 +202,95 @@ def _roots(
         digests, "digest"
     ).select("cls", "digest", "at"), "minhash-sources")
     sets = stage(_sets(rows, sources, words), "minhash-sets")
-    agree, similar = _agreeing(least_agreement(num, den)), _similar(num, den)
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        fit = stage(pairs, "minhash-pairs")
-        likely = stage(_accepted(fit, signatures, agree), "minhash-pairs")
-        found = stage(_accepted(likely, sets, similar), "minhash-links")
-        unstage(fit)
-        unstage(likely)
-        return found
+    sets = sets.withColumnRenamed("cls", "key")
+    tests = (
+        (signatures.withColumnRenamed("cls", "key"), _agreeing(least_agreement(num, den))),
+        (sets, hubs.similar(num, den)),
+    )
 
-    pairs, rest = _stars(members, None, 1, num, den)
+    def linked(pairs: DataFrame) -> DataFrame | None:
+        """The links among the pairs; each test is made where the one before left something."""
+        left = stage(hubs.dealt(pairs), "minhash-pairs")
+        for payloads, accept in tests:
+            if not left.take(1):
+                return None
+            before, left = left, stage(hubs.accepted(left, payloads, accept), "minhash-pairs")
+            unstage(before)
+        return left.select("u", "v") if left.take(1) else None
+
+    pairs, rest = _stars(members, 1, num, den)
     edges = linked(pairs)
-    roots = components(edges)
-    remaining = stage(_open(rest, roots).select("cls").distinct(), "minhash-open")
-    if not remaining.take(1):
+    roots = None if edges is None else stage(components(edges), "minhash-roots")
+    groups = stage(_open(_rooted(rest, roots)), "minhash-open")
+    if not groups.take(1):
         return roots
-    groups = stage(_open(_rarest(remaining, sets, num, den), roots), "minhash-rarest")
-    hubs = 1
+    remaining = groups.select("cls").distinct()
+    groups = stage(_open(_rooted(_rarest(remaining, sets, num, den), roots)), "minhash-rarest")
+    at_once = HUBS
     while groups.take(1):
-        pairs, rest = _stars(groups, roots, hubs, num, den)
+        pairs, rest = _stars(groups, at_once, num, den)
         new = linked(pairs)
-        if new.take(1):
-            edges = edges.union(new)
-            roots = components(edges)
-        before, groups = groups, stage(_open(rest, roots), "minhash-rarest")
+        if new is not None:
+            roots = stage(_connected(roots, new), "minhash-roots")
+            rest = _rooted(rest, roots)
+        before, groups = groups, stage(_open(rest), "minhash-rarest")
         unstage(before)
-        hubs *= 4
+        at_once *= HUBS
     return roots
 
 
 def _rooted(groups: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """With the present root of each class; a class without links is its own."""
     if roots is None:
-        return groups.withColumn("root", F.col("cls"))
-    known = roots.select(F.col("node").alias("cls"), "root")
-    return groups.join(known, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+        return groups.select(*GROUPS)
+    known = roots.select(F.col("node").alias("cls"), F.col("root").alias("_root"))
+    return groups.join(known, "cls", "left").withColumn(
+        "root", F.coalesce("_root", "cls")
+    ).select(*GROUPS)
 
 
-def _open(groups: DataFrame, roots: DataFrame) -> DataFrame:
+def _connected(roots: DataFrame | None, new: DataFrame) -> DataFrame:
+    """The roots after more links: only components that these touch are searched again."""
+    if roots is None:
+        return components(new)
+    ends = new
+    for end in ("u", "v"):
+        known = roots.select(F.col("node").alias(end), F.col("root").alias(f"_{end}"))
+        ends = ends.join(known, end, "left").withColumn(f"_{end}", F.coalesce(f"_{end}", end))
+    moved = stage(components(ends.select(F.col("_u").alias("u"), F.col("_v").alias("v"))), "minhash-moved")
+    to = moved.select(F.col("node").alias("root"), F.col("root").alias("_to"))
+    kept = roots.join(to, "root", "left").select("node", F.coalesce("_to", "root").alias("root"))
+    return kept.unionByName(moved.join(roots.select("node"), "node", "left_anti"))
+
+
+def _open(groups: DataFrame) -> DataFrame:
     """The groups in which two components meet."""
-    rooted = _rooted(groups, roots)
-    apart = rooted.groupBy("grp").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(
+    apart = groups.groupBy("grp").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(
         "low < high"
     ).select("grp")
-    return rooted.drop("root").join(apart, "grp", "left_semi")
+    return groups.join(apart, "grp", "left_semi").select(*GROUPS)
 
 
-def _stars(
-    groups: DataFrame, roots: DataFrame | None, hubs: int, num: int, den: int
-) -> tuple[DataFrame, DataFrame]:
+def _stars(groups: DataFrame, at_once: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """Pairs (member u, hub v) of each group's hubs with members of other components to which
     sizes and ranks allow a link, and what is left of the groups without the hubs.
 
-    Members are dealt over ``hubs`` slots; the one with the most groups leads its slot.
+    Components are dealt over ``at_once`` slots; the member with the most groups leads its slot. So a
+    large component takes one hub's place, and the many small ones it was not linked to the others.
     """
-    weights = groups.groupBy("cls").agg(F.count(F.lit(1)).alias("weight"))
-    weighed = _rooted(groups.join(weights, "cls"), roots).withColumn(
-        "slot", F.pmod(F.xxhash64("cls", F.lit(hubs)), F.lit(hubs))
-    )
-    leaders = stage(weighed.groupBy("grp", "slot").agg(
+    slot = F.pmod(F.xxhash64("root", F.lit(at_once)), F.lit(at_once)).alias("slot")
+    leaders = stage(groups.groupBy("grp", slot).agg(
         F.max(F.struct("weight", "cls", "size", "rank", "root")).alias("hub")
     ).select("grp", "hub.*"), "minhash-hubs")
     h = leaders.select("grp", *[F.col(c).alias(f"h_{c}") for c in ("cls", "size", "rank", "root")])
     a, b = F.col("size"), F.col("h_size")
     shared = F.ceil((a + b) * num / (num + den))
-    pairs = weighed.join(h, "grp").where(
+    pairs = groups.join(h, "grp").where(
         (F.col("cls") != F.col("h_cls")) & (F.col("root") != F.col("h_root"))
         & (F.least(a, b) * den >= F.greatest(a, b) * num)
         & (F.col("rank") <= a - shared + 1) & (F.col("h_rank") <= b - shared + 1)
     ).select(F.col("cls").alias("u"), F.col("h_cls").alias("v")).distinct()
-    rest = groups.join(leaders.select("grp", "cls"), ["grp", "cls"], "left_anti")
-    return pairs, rest.select("grp", "cls", "size", "rank")
+    return pairs, groups.join(leaders.select("grp", "cls"), ["grp", "cls"], "left_anti").select(*GROUPS)
 
 
 def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -325,7 +301,7 @@ def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes = np.array([len(s) for s in some])
             which = pa.array(np.repeat(np.arange(first, first + len(some)), sizes))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(some)), batch.column("cls").take(which),
+                [pa.array(np.concatenate(some)), batch.column("key").take(which),
                  pa.array(np.repeat(sizes, sizes))],
                 ["grp", "cls", "size"],
             )
@@ -337,7 +313,7 @@ def _rarest(remaining: DataFrame, sets: DataFrame, num: int, den: int) -> DataFr
     Sets with an overlap of i share one of the size - i + 1 rarest shingles of each, in any
     common order; here by holders. A shingle without a second holder leads nowhere and only counts.
     """
-    rows = sets.join(remaining, "cls", "left_semi").mapInArrow(
+    rows = sets.join(remaining.withColumnRenamed("cls", "key"), "key", "left_semi").mapInArrow(
         lambda batches: lean(_exploded(batches)), "grp long, cls long, size long"
     )
     # Written, so that the join below shuffles both sides itself and can split a hot shingle.
@@ -348,9 +324,9 @@ def _rarest(remaining: DataFrame, sets: DataFrame, num: int, den: int) -> DataFr
     size = F.col("size")
     alone = size - F.count(F.lit(1)).over(own)
     rank = alone + F.row_number().over(own.orderBy("holders", "grp"))
-    return rows.join(held, "grp").withColumn("rank", rank.cast("long")).where(
+    return _weighed(rows.join(held, "grp").withColumn("rank", rank.cast("long")).where(
         F.col("rank") <= size - F.ceil(size * num / den) + 1
-    ).select("grp", "cls", "size", "rank")
+    ).select("grp", "cls", "size", "rank", F.col("cls").alias("root")))
 
 
 def _sets(rows: DataFrame, sources: DataFrame, words: int) -> DataFrame:

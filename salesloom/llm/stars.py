@@ -58,7 +58,7 @@ def components(edges: DataFrame, name: str = "stars") -> DataFrame:
         both = current.union(current.select("v", "u"))
         down = _hung(both, 2 * state[0]).where("v > u and v <> m").select(
             F.col("v").alias("u"), F.col("m").alias("v")
-        ).distinct()
+        )
         # Small star: every edge points down now; a node and its smaller neighbours go under the least.
         hung = _hung(down, state[0]).select(F.explode(F.array(
             F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))
