@@ -37,6 +37,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
+from salesloom.llm import hubs
 from salesloom.llm.common import Remembered, binaries, in_chunks, lean, mix64, stage, unstage
 from salesloom.llm.components import components
 
@@ -194,35 +195,11 @@ def _sets_of(words: int):
     return lambda batches: lean(read(batches))
 
 
-def _similar(num: int, den: int):
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked = []
-            for x, y in zip(batch.column("su"), batch.column("sv")):
-                a = np.frombuffer(x.as_buffer(), np.uint64)
-                b = np.frombuffer(y.as_buffer(), np.uint64)
-                if len(a) > len(b):
-                    a, b = b, a
-                at = np.searchsorted(b, a)
-                both = int(np.count_nonzero(b[np.minimum(at, len(b) - 1)] == a))
-                linked.append(den * both >= num * (len(a) + len(b) - both))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("u"), batch.column("v"), pa.array(linked, pa.bool_())],
-                ["u", "v", "linked"],
-            )
-
-    return lambda batches: lean(compare(batches))
-
-
 def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (u, v) whose sets are similar enough."""
-    return (
-        pairs.join(sets.select(F.col("digest").alias("v"), F.col("shingles").alias("sv")), "v")
-        .join(sets.select(F.col("digest").alias("u"), F.col("shingles").alias("su")), "u")
-        .select("u", "v", "su", "sv")
-        .mapInArrow(_similar(num, den), "u binary, v binary, linked boolean")
-        .where("linked").select("u", "v")
-    )
+    """The pairs (member u, hub v) whose sets are similar enough."""
+    payloads = sets.select(F.col("digest").alias("key"), F.col("shingles").alias("payload"))
+    dealt = stage(hubs.dealt(stage(pairs, "pairs")), "pairs")  # read more than once
+    return hubs.accepted(dealt, payloads, hubs.similar(num, den)).select("u", "v")
 
 
 def _shared(described: DataFrame) -> DataFrame:
@@ -368,12 +345,12 @@ def _stars(groups: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]
     groups when the hubs have left."""
     weights = groups.groupBy("digest").agg(F.count(F.lit(1)).alias("weight"))
     weighed = groups.join(weights, "digest")
-    hubs = weighed.groupBy(*GROUP).agg(
+    leaders = weighed.groupBy(*GROUP).agg(
         F.max(F.struct("home", "weight", "digest", "size", "rank", "root")).alias("hub")
     )
-    rays = weighed.drop("weight").alias("x").join(hubs.alias("h"), GROUP).where("digest <> hub.digest")
+    rays = weighed.drop("weight").alias("x").join(leaders.alias("h"), GROUP).where("digest <> hub.digest")
     pairs = rays.where("x.root <> hub.root").where(_fit("x", "hub", num, den)).select(
-        F.greatest("digest", "hub.digest").alias("u"), F.least("digest", "hub.digest").alias("v")
+        F.col("digest").alias("u"), F.col("hub.digest").alias("v")
     ).distinct()
     return pairs, rays.select("x.*", *GROUP).select(*groups.columns)
 
