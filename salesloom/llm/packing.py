@@ -13,6 +13,7 @@ blocks can complete them.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,7 +29,6 @@ CHUNK_BYTES = 2_000_000
 BLOCK_PIECES = 8192
 # A sequence this full is finished in the first pass.
 FULL_ENOUGH = 0.998
-SEARCH_PASSES = 4
 
 
 @lru_cache(maxsize=1)
@@ -165,13 +165,26 @@ class _Stock:
             self.mask &= ~(1 << length)
 
 
-def improve(bins: list[list[int]], capacity: int, passes: int = SEARCH_PASSES) -> list[list[int]]:
+def _gifts(own: list[int]) -> list[tuple[int, ...]]:
+    """What a bin can give, told by lengths: nothing, one piece, or two. Different lengths in a
+    bin are few however many pieces it has, as their sum is at most its capacity."""
+    held = Counter(own)
+    lengths = sorted(held)
+    pairs = [
+        (x, y) for i, x in enumerate(lengths) for y in lengths[i:] if x != y or held[x] > 1
+    ]
+    return [(), *((x,) for x in lengths), *pairs]
+
+
+def improve(bins: list[list[int]], capacity: int) -> list[list[int]]:
     """Exchanges between underfull bins, fullest first, until a pass changes nothing.
 
     A bin with room r gives nothing, one piece or two and takes one longer piece from an
-    emptier bin, at most r longer than what it gives.
+    emptier bin, at most r longer than what it gives. Each exchange raises the sum of squared
+    fills, so there is an end.
     """
-    for _ in range(passes):
+    changed = True
+    while changed:
         full = [b for b in bins if sum(b) == capacity]
         under = sorted((b for b in bins if sum(b) < capacity), key=sum, reverse=True)
         fill = [sum(b) for b in under]
@@ -188,9 +201,7 @@ def improve(bins: list[list[int]], capacity: int, passes: int = SEARCH_PASSES) -
             while fill[k] < capacity:
                 room = capacity - fill[k]
                 best = (0, (), 0)  # gain, what is given, what is taken
-                given = [(), *((x,) for x in sorted(set(own)))]
-                given += {(x, y) for i, x in enumerate(own) for y in own[i + 1 :]} if len(own) < 12 else ()
-                for gift in given:
+                for gift in _gifts(own):
                     size = sum(gift)
                     taken = stock.longest(size + 1, min(size + room, capacity))
                     if taken and taken - size > best[0]:
@@ -211,8 +222,6 @@ def improve(bins: list[list[int]], capacity: int, passes: int = SEARCH_PASSES) -
                 fill[other] -= gain
                 changed = True
         bins = full + [b for b in under if b]
-        if not changed:
-            break
     return bins
 
 

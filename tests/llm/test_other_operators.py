@@ -422,6 +422,30 @@ def test_local_search_never_needs_more_bins():
         assert squares(better) >= squares(first)
 
 
+def test_bins_of_many_pieces_exchange_two_for_one():
+    many = [40, 45, *[93] * 8, *[97] * 2]
+    assert sum(many) == 1023
+    assert sorted(map(sum, packing.improve([many, [86, 85]], 1024))) == [170, 1024]
+
+
+def test_no_exchange_is_left():
+    """After the search no bin can gain from an emptier one by any of the three moves."""
+    import itertools
+    import random as dice
+
+    draw = dice.Random(6)
+    for _ in range(20):
+        lengths = [draw.randrange(3, 45) for _ in range(60)]
+        bins = sorted(packing.improve(packing.best_fit(sorted(lengths), 100), 100), key=sum, reverse=True)
+        assert sorted(x for b in bins for x in b) == sorted(lengths)
+        for fuller, emptier in itertools.combinations(bins, 2):
+            for taken in emptier:
+                for n in range(3):
+                    for gift in itertools.combinations(fuller, n):
+                        gain = taken - sum(gift)
+                        assert gain <= 0 or sum(fuller) + gain > 100, (fuller, emptier)
+
+
 def test_swaps_empty_a_bin_that_best_fit_leaves():
     # Decreasing best fit pairs 6+3 and 5+4 badly for a capacity of 10.
     bins = packing.improve([[6, 3], [5, 4], [2]], 10)
