@@ -193,3 +193,50 @@ def test_a_new_rule_version_is_scanned_alone(documents):
     assert new.select("scanned").first()[0] == ["access:2"]
     found = secrets.findings(addressed, ledger, new, rules=later).first()["found"]
     assert [(s["kind"], s["version"]) for s in found] == [("access", 2)]
+
+
+def redacted(text, spans):
+    """Spans (start, end, kind) replaced one by one."""
+    out, at = [], 0
+    for start, end, kind in sorted(spans):
+        if start >= at:
+            out += [text[at:start], f"[{kind.upper()}]"]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def test_redaction_of_any_spans_equals_a_plain_one(spark):
+    import random
+
+    draw, rows = random.Random(9), []
+    for n in (0, 1, 2, 63, 64, 65, 255, 256, 257, 4095, 4096, 4097, 9000):
+        text = "".join(draw.choices("abc \u00e9\u65e5\U0001f600", k=max(4 * n, 5)))
+        spans = []
+        for _ in range(n):
+            start = draw.randrange(len(text))
+            spans.append((start, min(len(text), start + draw.choice((1, 2, 5))), draw.choice(("email", "ip"))))
+        rows.append((n, text, [(k, a, b) for a, b, k in spans[::2]], [(k, a, b) for a, b, k in spans[1::2]]))
+    kind = "array<struct<kind:string,start:bigint,end:bigint>>"
+    df = spark.createDataFrame(rows, f"n int, text string, base {kind}, added {kind}")
+    found = {r["n"]: r["text"] for r in pii.redact(df).collect()}
+    for n, text, base, added in rows:
+        assert found[n] == redacted(text, [(a, b, k) for k, a, b in base + added]), n
+
+
+def test_redaction_takes_time_in_proportion(spark):
+    import time
+
+    kind = "array<struct<kind:string,start:bigint,end:bigint>>"
+    seconds = []
+    for n in (2_000, 20_000, 80_000):
+        text = "mail a@b.cc now " * n
+        df = spark.range(1).select(
+            F.lit(text).alias("text"),
+            F.expr(f"transform(sequence(0, {n - 1}), i -> named_struct('kind', 'email', 'start', i * 16L + 5, 'end', i * 16L + 11))").alias("base"),
+            F.array().cast(kind).alias("added"),
+        )
+        begun = time.perf_counter()
+        row = pii.redact(df).select(F.length("text"), F.right("text", F.lit(16))).first()
+        seconds.append(time.perf_counter() - begun)
+        assert row[0] == n * 17 and row[1] == "ail [EMAIL] now "
+    assert seconds[2] < 12 * max(seconds[1], 0.5)
