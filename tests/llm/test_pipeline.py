@@ -101,6 +101,20 @@ def test_edge_rows_and_empty_tables_pass_every_stage(spark, sf_dir, edge, empty)
     assert len(EDGE_ROWS) > docs.count()
 
 
+def test_user_columns_come_out_as_they_were(spark, sf_dir, documents):
+    """Columns with the names that operators and stages use for their own, values told by the id."""
+    names = ["n_words", "spans", "items", "base", "added", "_found", "_row", "_kept", "_rows", "_at",
+             "digest", "at", "u", "v", "part", "payload"]
+    docs = documents([(i, t, l) for i, t, l in EDGE_ROWS if i not in (None, 6)])
+    docs = docs.withColumns({c: F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")) for c in names})
+    columns = docs.columns
+    for name, function in corpus_pipeline.STAGES[:-1]:
+        docs = stage(function(spark, docs, sf_dir), f"own-{name}")
+        assert docs.columns == columns, name
+        found = docs.select("doc_id", *names).collect()
+        assert found and all(r[c] == f"{c} of {r['doc_id']}" for r in found for c in names), name
+
+
 def test_library_works_without_the_folder():
     """The entry module imports, with fewer queries, where the corpus operators are absent."""
     code = (
