@@ -61,6 +61,13 @@ def main() -> None:
         timed("build_star", lambda: registry.star_tables(spark, sf_dir))
         timed("build_snowflake", lambda: registry.stored_snowflake(spark, sf_dir))
         timed("build_snowflake_dense", lambda: registry.stored_dimensions(spark, sf_dir, True))
+        timed("build_audit", lambda: registry.audited_snowflake(
+            spark, sf_dir, registry.staging(spark, sf_dir), "audit"
+        ))
+        timed("build_audit_broken", lambda: registry.audited_snowflake(
+            spark, sf_dir, registry.broken_staging(spark, sf_dir), "audit-broken"
+        ))
+        timed("build_two_loads", lambda: registry.two_loads(spark, sf_dir))
     for name, query in registry.QUERIES.items():
         if not chosen or name in chosen:
             timed(name, lambda query=query: run(query), again=2)

@@ -145,9 +145,10 @@ def with_(tables: dict[str, str], select: str) -> str:
 # --- star ---------------------------------------------------------------------
 
 
-def star_tables(dense: bool = False) -> dict[str, str]:
+def star_tables(dense: bool = False, feed: str = FEED, first: tuple = ()) -> dict[str, str]:
+    """``first`` comes before the payload in the order that decides between descriptions."""
     make = numbered if dense else key
-    tables = {"stg": FEED}
+    tables = {"stg": feed}
     for e in layout.STAR_DIMENSIONS:
         columns = [
             f"{LOOSE[e['parsed'][c]](c)} AS {c}" if c in e["parsed"]
@@ -155,7 +156,7 @@ def star_tables(dense: bool = False) -> dict[str, str]:
             for c in e["columns"]
         ]
         tables[e["table"]] = (
-            f"SELECT {', '.join(columns)} FROM ({winner('stg', e['key'], e['payload'])})"
+            f"SELECT {', '.join(columns)} FROM ({winner('stg', e['key'], first + e['payload'])})"
         )
     tables["dim_date"] = (
         f"SELECT full_date, {make('full_date')} AS date_id, {calendar('full_date')} "
@@ -182,8 +183,8 @@ def checks(total: str, n: str, average: str) -> str:
     )
 
 
-def mart_tables() -> dict[str, str]:
-    tables = star_tables()
+def mart_tables(feed: str = FEED, first: tuple = ()) -> dict[str, str]:
+    tables = star_tables(feed=feed, first=first)
     revenue = f"{money('sale_total_price')} AS total_revenue"
     quantity = "CAST(SUM(sale_quantity) AS BIGINT) AS total_quantity_sold"
     rating = f"{mean('product_rating')} AS avg_rating"
@@ -429,6 +430,152 @@ def typed(table: str, skip=(), audit: bool = False) -> str:
     return f"SELECT {', '.join(columns)} FROM w_{table}"
 
 
+# --- two feeds, one after the other -----------------------------------------------
+
+# Sales of even orders come first. A description of the first feed stays.
+TWO_FEEDS = f"SELECT *, CAST(split_part(id, '-', 1) AS BIGINT) % 2 AS feed_no FROM ({FEED})"
+
+
+def loaded_tables() -> dict[str, str]:
+    """What both loads leave, without ids: each row with the feed that brought it."""
+    tables = {"stg": TWO_FEEDS}
+    for table, _, columns in layout.SUB_DIMENSIONS:
+        distinct = ", ".join(f"{emptied(c)} AS {n}" for n, c in columns.items())
+        tables[f"n_{table}"] = f"SELECT {distinct}, MIN(feed_no) AS feed_no FROM stg GROUP BY ALL"
+    tables["n_d_date"] = (
+        f"SELECT {firm_date('sale_date')} AS full_date, MIN(feed_no) AS feed_no FROM stg "
+        "WHERE sale_date <> '' GROUP BY ALL"
+    )
+    for d in layout.DIMENSIONS:
+        source = ", ".join(
+            f"{emptied(c)} AS {c}" if c in d["emptied"] else c for c in d["key"] + d["payload"]
+        )
+        picked = winner(f"(SELECT {source}, feed_no FROM stg)", d["key"], ("feed_no",) + d["payload"])
+        tables[f"n_{d['table']}"] = f"SELECT * EXCLUDE (rn) FROM ({picked})"
+
+    values = {
+        n: emptied(c) if kind == "text" else FIRM[kind](c) for n, (c, kind) in layout.DETAILS.items()
+    }
+    digits = [beyond(c) for c, kind in layout.DETAILS.values() if kind == "decimal"]
+    more = f"concat_ws('|', {', '.join(digits)}) AS beyond"
+    parsed = ", ".join(f"{v} AS {n}" for n, v in values.items())
+    tables["unrounded"] = f"SELECT {parsed}, {more}, MIN(feed_no) AS feed_no FROM stg GROUP BY ALL"
+    declared = layout.SNOWFLAKE_COLUMNS["d_product_details"]
+    stored = ", ".join(
+        n if declared[n] == "string" or declared[n].startswith("varchar")
+        else f"CAST({n} AS {declared[n]}) AS {n}" for n in layout.DETAILS
+    )
+    tables["n_d_product_details"] = f"SELECT {stored}, feed_no FROM unrounded"
+    product = next(e for e in layout.STAR_DIMENSIONS if e["table"] == "dim_product")
+    picked = winner("stg", product["key"], ("feed_no",) + product["payload"])
+    same = " AND ".join(f"x.{n} IS NOT DISTINCT FROM w.{n}" for n in layout.DETAILS)
+    tables["described"] = (
+        f"SELECT product_name, product_category, {firm_decimal('product_price')} AS price, "
+        f"{firm_int('product_quantity')} AS quantity, {parsed}, {more}, feed_no FROM ({picked})"
+    )
+    tables["n_d_product"] = (
+        f"SELECT w.product_name AS name, {emptied('w.product_category')} AS category_name, "
+        "CAST(w.price AS DECIMAL(10,2)) AS price, w.quantity, x.* EXCLUDE (feed_no), w.feed_no "
+        f"FROM described w JOIN n_d_product_details x ON {same} AND w.beyond = '|' "
+        "AND x.feed_no <= w.feed_no"
+    )
+    named = complete(
+        "customer_first_name", "customer_last_name", "customer_email", "seller_first_name",
+        "seller_last_name", "seller_email", "supplier_name", "supplier_email",
+    )
+    tables["n_f_sale"] = (
+        f"SELECT {firm_int('r.sale_quantity')} AS sale_quantity, "
+        f"CAST({firm_decimal('r.sale_total_price')} AS DECIMAL(12,2)) AS sale_total_price, "
+        "r.customer_email, r.seller_email, r.supplier_email, "
+        f"{loose_date('r.sale_date')} AS full_date, r.product_name, p.category_name, p.weight, "
+        "p.color, r.store_name, s.store_city AS city, s.store_state AS state, "
+        f"s.store_country AS country, r.feed_no FROM (SELECT * FROM stg WHERE {named} "
+        f"AND {loose_date('sale_date')} IS NOT NULL) r "
+        f"JOIN n_d_product p ON p.name = r.product_name "
+        f"AND p.category_name = {emptied('r.product_category')} AND p.feed_no <= r.feed_no "
+        "JOIN n_d_store s ON s.store_name = r.store_name AND s.feed_no <= r.feed_no AND "
+        + " AND ".join(f"s.{c} = {emptied('r.' + c)}" for c in ("store_city", "store_state", "store_country"))
+    )
+    return tables
+
+
+def load_queries() -> dict[str, str]:
+    tables = loaded_tables()
+    star = star_tables(feed=TWO_FEEDS, first=("feed_no",))
+    marts_ = mart_tables(TWO_FEEDS, ("feed_no",))
+    first = "feed_no = 0 AS first_load"
+    snow = list(layout.SNOWFLAKE_COLUMNS)
+    counts = [
+        f"SELECT '{t}' AS table_name, COUNT(*) FILTER (WHERE feed_no = 0) AS rows_before, "
+        "COUNT(*) AS rows_after, CAST(1 AS BIGINT) AS lowest_id, COUNT(*) AS highest_id "
+        f"FROM n_{t}" for t in snow
+    ]
+    customer = next(d for d in layout.DIMENSIONS if d["table"] == "d_customer")
+    pet, place = [
+        next(c for t, _, c in layout.SUB_DIMENSIONS if t == s)
+        for s in ("d_customer_pet", "d_customer_location")
+    ]
+    shown = {**customer["columns"], **pet, **place}
+    columns = ", ".join(
+        f"{firm_int(c) if c in customer['parsed'] else c} AS {n}" for n, c in shown.items()
+    )
+
+    def line(rule: str, table: str, names: str, parent: str, bad: str, rows: str, done: str) -> str:
+        return (
+            f"SELECT '{rule}' AS rule, '{table}' AS table_name, '{names}' AS column_names, "
+            f"'{parent}' AS parent_table, CAST({bad} AS BIGINT) AS violations, "
+            f"({rows}) AS rows_readable, {done} AS published"
+        )
+
+    star_ids = {e["table"]: e["id"] for e in layout.STAR_DIMENSIONS} | {"dim_date": "date_id"}
+    clean = [
+        line("unique", t, c, "", "0", f"SELECT COUNT(*) FROM n_{t}", "TRUE")
+        for t, c in [*layout.PRIMARY_KEYS.items(), ("d_date", "full_date")] if t in snow
+    ] + [
+        line("unique", t, c, "", "0", f"SELECT COUNT(*) FROM {t}", "TRUE") for t, c in star_ids.items()
+    ] + [
+        line("reference", t, c, p, "0", f"SELECT COUNT(*) FROM n_{t}", "TRUE")
+        for t, c, p in layout.SNOWFLAKE_REFERENCES
+    ] + [
+        line("reference", "fact_sales", c, p, "0", "SELECT COUNT(*) FROM fact_sales", "TRUE")
+        for c, p in layout.STAR_REFERENCES.items()
+    ]
+    readable = "SELECT COUNT(*) FROM stg WHERE feed_no = 0"
+    by = {e["id"]: e["key"] for e in layout.STAR_DIMENSIONS}
+    known = {
+        id_: f"SELECT DISTINCT {key(*names)} AS k FROM stg WHERE feed_no = 0 OR '{id_}' = 'customer_id'"
+        for id_, names in by.items()
+    }
+    dated = f"(SELECT *, {loose_date('sale_date')} AS full_date FROM stg)"
+    known["date_id"] = f"SELECT DISTINCT {key('full_date')} AS k FROM {dated} WHERE feed_no = 0"
+    by["date_id"] = ("full_date",)
+    customer_key = key(*by["customer_id"])
+    twice = (
+        f"(SELECT COUNT(*) FROM (SELECT {customer_key} AS k FROM stg GROUP BY 1 "
+        "HAVING COUNT(DISTINCT feed_no) > 1))"
+    )
+    customers = f"SELECT COUNT(DISTINCT {customer_key}) FROM stg WHERE feed_no = 0"
+    broken = [line("unique", "dim_customer", "customer_id", "", twice, customers, "FALSE")] + [
+        line(
+            "reference", "fact_sales", id_, layout.STAR_REFERENCES[id_],
+            f"(SELECT COUNT(*) FROM {dated} WHERE feed_no = 1 AND {complete(*names)} "
+            f"AND {key(*names)} NOT IN ({known[id_]}))", readable, "FALSE",
+        )
+        for id_, names in by.items()
+    ]
+    queries = {
+        "load_row_counts": with_(tables, union(counts)),
+        "load_customers": with_(tables, f"SELECT {columns}, {first} FROM n_d_customer"),
+        "load_products": with_(tables, f"SELECT * EXCLUDE (feed_no), {first} FROM n_d_product"),
+        "load_sales": with_(tables, f"SELECT * EXCLUDE (feed_no), {first} FROM n_f_sale"),
+        "publish_clean": with_({**star, **tables}, union(clean)),
+        "publish_broken": with_({"stg": TWO_FEEDS}, union(broken)),
+    }
+    for name in ("product", "customer", "supplier", "time"):
+        queries[f"load_mart_{name}_sales"] = with_(marts_, f"SELECT * FROM mart_{name}_sales")
+    return queries
+
+
 # --- audits -------------------------------------------------------------------
 
 
@@ -566,6 +713,32 @@ def parse_failures() -> str:
     )
 
 
+def parse_rejects() -> str:
+    """Each text that a rule cannot read, told from the patterns and casts one by one."""
+    def line(rule: str, c: str, kind: str) -> str:
+        filled = f"{c} IS NOT NULL AND {c} <> ''"
+        raises = "FALSE"
+        if rule == "permissive":
+            found = f"{filled} AND ({LOOSE[kind](c)}) IS NULL"
+        elif kind == "date":
+            found = raises = f"{filled} AND ({loose_date(c)}) IS NULL"
+        else:
+            pattern, name = {
+                "int": ("[0-9]+", "INTEGER"), "decimal": ("[0-9]+([.][0-9]+)?", "DECIMAL(38,18)"),
+            }[kind]
+            raises = f"(regexp_full_match({c}, '{pattern}') AND TRY_CAST({c} AS {name}) IS NULL)"
+            found = f"{filled} AND (NOT regexp_full_match({c}, '{pattern}') OR {raises})"
+        return (
+            f"SELECT id, '{rule}' AS rule, '{c}' AS column_name, {c} AS text, {raises} AS raises "
+            f"FROM stg WHERE {found}"
+        )
+
+    return union(
+        [line("strict", c, k) for c, k in layout.STRICT_COLUMNS.items()]
+        + [line("permissive", c, k) for c, k in layout.PERMISSIVE_COLUMNS.items()]
+    )
+
+
 # --- all ----------------------------------------------------------------------
 
 
@@ -660,4 +833,36 @@ def oracle_sql() -> dict[str, str]:
     )
     queries["io_append"] = with_(star, "SELECT * FROM dim_date")
     queries["dq_parse_failures"] = with_(feed, parse_failures())
+    queries["sale_ids_by_place"] = with_(
+        snow, "SELECT *, CAST(1 AS BIGINT) AS lowest_id, COUNT(*) OVER () AS highest_id, "
+        "COUNT(*) OVER () AS different_ids FROM t_f_sale",
+    )
+    queries.update(load_queries())
+    queries["parse_rejects"] = with_({"stg": BROKEN_FEED}, parse_rejects())
+    order = "CAST(split_part(id, '-', 1) AS BIGINT)"
+    queries["csv_rejects"] = with_(feed, union([
+        "SELECT id, CAST(NULL AS VARCHAR) AS reason FROM stg",
+        *[f"SELECT id, 'number of fields' AS reason FROM stg WHERE {order} % {n} = 0" for n in (89, 97)],
+    ]))
+    queries["fact_sales_bucketed"] = queries["fact_sales_lookup"]
+    queries["fact_sales_packed"] = queries["fact_sales"]
+    queries["mart_supplier_sales_packed"] = queries["mart_supplier_sales"]
+    months = "CAST(year(d) AS INTEGER) AS sale_year, CAST(month(d) AS INTEGER) AS sale_month"
+    ids = ", ".join(
+        f"CASE WHEN {complete(*e['key'])} THEN {key(*e['key'])} END AS {e['id']}"
+        for e in layout.STAR_DIMENSIONS
+    )
+    replayed = (
+        f"SELECT {ids}, CASE WHEN d IS NOT NULL THEN {key('d')} END AS date_id, "
+        f"CASE WHEN year(d) = 1996 AND month(d) = 5 THEN 7 ELSE {loose_int('sale_quantity')} END "
+        f"AS sale_quantity, {loose_double('sale_total_price')} AS sale_total_price, {months} "
+        f"FROM (SELECT *, {loose_date('sale_date')} AS d FROM stg)"
+    )
+    queries["replay_month"] = with_(feed, replayed)
+    queries["monthly_trend_range"] = with_(
+        {**feed, "fact": replayed},
+        f"SELECT sale_year AS year, sale_month AS month, {money('sale_total_price')} AS total_sales, "
+        "COUNT(*) AS num_orders FROM fact WHERE sale_year * 12 + sale_month "
+        "BETWEEN 1995 * 12 + 11 AND 1997 * 12 + 1 GROUP BY ALL",
+    )
     return queries

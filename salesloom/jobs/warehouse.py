@@ -11,8 +11,9 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from salesloom import schema
+from salesloom.operators.keys import key_by_place
 from salesloom.plans import marts, snowflake, star
-from salesloom.session import materialize, side_by_side
+from salesloom.session import materialize, remove_folder, scratch_folder, side_by_side
 from salesloom.sources.csv_feed import read_csv_feed
 from salesloom.sources.tables import JdbcStore, Store, write_counted
 
@@ -43,12 +44,15 @@ def ingest(spark: SparkSession, paths: str | Sequence[str], target: Store) -> di
 
 
 def build_snowflake(
-    spark: SparkSession, source: Store, target: Store, dense: bool = False
+    spark: SparkSession, source: Store, target: Store, dense: bool = False,
+    repeatable: bool = False,
 ) -> dict[str, int]:
     """Staging to the fourteen snowflake tables.
 
     Each level reads the one before it as written, so nothing is computed twice and
-    ids are those on disk.
+    ids are those on disk. Sales are numbered by where their rows were written, without
+    moving them; ``repeatable`` numbers them by their values instead, which a second run over the
+    same feed repeats, for two shuffles of the fact.
     """
     feed = read_staging(spark, source)
     level = snowflake.sub_dimensions(feed, dense)
@@ -60,8 +64,15 @@ def build_snowflake(
     stored = {n: target.read(spark, n) for n in counts}
 
     resolve = snowflake.fact_by_lookup if dense else snowflake.fact
-    sales = snowflake.number_sales(resolve(feed, stored))
-    return counts | {"f_sale": write_counted(target, sales, "f_sale")}
+    sales = resolve(feed, stored)
+    if repeatable:
+        return counts | {"f_sale": write_counted(target, snowflake.number_sales(sales), "f_sale")}
+    folder = scratch_folder(spark, "unnumbered")
+    sales.write.parquet(folder)
+    numbered = key_by_place(spark.read.parquet(folder), "sale_id")
+    counts["f_sale"] = write_counted(target, numbered, "f_sale")
+    remove_folder(spark, folder)
+    return counts
 
 
 def build_star(

@@ -100,6 +100,61 @@ def star_orphans(tables: Tables) -> DataFrame:
     ])
 
 
+# --- what a load adds -----------------------------------------------------------
+
+# Layout of the lines below; ``violations`` counts keys held twice, or rows without a parent.
+VIOLATIONS = (
+    "rule string, table_name string, column_names string, parent_table string, violations bigint"
+)
+
+
+def _violation(rule: str, table: str, columns: str, parent: str, counted: Column) -> list[Column]:
+    return [
+        F.lit(rule).alias("rule"), F.lit(table).alias("table_name"),
+        F.lit(columns).alias("column_names"), F.lit(parent).alias("parent_table"),
+        counted.cast("bigint").alias("violations"),
+    ]
+
+
+def added_duplicates(
+    added: DataFrame, before: DataFrame | None, table: str, key: Sequence[str]
+) -> DataFrame:
+    """Keys that added rows hold more than once, hold beside published rows, or leave NULL.
+
+    Published rows are read in the key's range of the added ones only: numbers that follow the highest
+    one skip all of them by file statistics.
+    """
+    per_key = added.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+    incomplete = reduce(or_, [F.col(c).isNull() for c in key])
+    held = F.lit(False)
+    if before is not None:
+        lowest = added.agg(*[F.min(c).alias(c) for c in key[:1]]).first()[0]
+        old = before.select(*key)
+        if lowest is not None:
+            old = old.where(F.col(key[0]) >= F.lit(lowest))
+        old = old.distinct().withColumn("_old", F.lit(True))
+        per_key, held = per_key.join(old, list(key), "left"), F.coalesce("_old", F.lit(False))
+    return per_key.agg(
+        F.count_if(incomplete | (F.col("n") > 1) | held).alias("bad")
+    ).select(*_violation("unique", table, ",".join(key), "", F.col("bad")))
+
+
+def added_orphans(
+    child: DataFrame, table: str, column: str, parent: DataFrame | None, parent_table: str,
+    parent_key: str,
+) -> DataFrame:
+    """Rows whose id has no parent row; a missing table has none."""
+    per_id = child.where(F.col(column).isNotNull()).groupBy(column).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    if parent is not None:
+        known = parent.select(F.col(parent_key).alias(column))
+        per_id = per_id.join(known, column, "left_anti")
+    return per_id.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("bad")).select(
+        *_violation("reference", table, column, parent_table, F.col("bad"))
+    )
+
+
 # --- row counts ---------------------------------------------------------------
 
 
@@ -239,3 +294,30 @@ def parse_failures(staging: DataFrame) -> DataFrame:
     lines = [line("strict", n, k) for n, k in STRICT_COLUMNS.items()]
     lines += [line("permissive", n, k) for n, k in PERMISSIVE_COLUMNS.items()]
     return staging.agg(F.array(*lines).alias("_lines")).select(F.inline("_lines"))
+
+
+def parse_rejects(staging: DataFrame, *place: str) -> DataFrame:
+    """(place, rule, column_name, text, raises) of every text that ``parse_failures`` counts as
+    unreadable or raising; ``place`` names the columns that tell which row it was.
+
+    One pass, and rows without such a text give none.
+    """
+
+    def line(rule: str, name: str, kind: str) -> Column:
+        text = F.col(name)
+        if rule == "strict":
+            unreadable, raises = parse.strict_outcome(text, kind)
+        else:
+            unreadable = parse.is_filled(text) & parse.PERMISSIVE[kind](text).isNull()
+            raises = F.lit(False)
+        unreadable, raises = (F.coalesce(c, F.lit(False)) for c in (unreadable, raises))
+        found = F.struct(
+            F.lit(rule).alias("rule"), F.lit(name).alias("column_name"), text.alias("text"),
+            raises.alias("raises"),
+        )
+        return F.when(unreadable | raises, found)
+
+    lines = [line("strict", n, k) for n, k in STRICT_COLUMNS.items()]
+    lines += [line("permissive", n, k) for n, k in PERMISSIVE_COLUMNS.items()]
+    rejects = F.explode(F.array_compact(F.array(*lines))).alias("_reject")
+    return staging.select(*place, rejects).select(*place, "_reject.*")

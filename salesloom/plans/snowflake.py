@@ -402,7 +402,8 @@ def fact_by_lookup(staging: DataFrame, tables: Tables, enforce: bool = True) ->
     """The same fact with every id looked up: six inner joins, whatever the ids are.
 
     The category and the store location of a sale are resolved to their ids first
-    and then used as part of the product and store keys.
+    and then used as part of the product and store keys. Each of the two must be found once: a
+    loaded table that holds one twice raises, rather than doubling sales (an audit goes on).
     """
     sales = staging.select(
         *_measures(enforce),
@@ -421,7 +422,7 @@ def fact_by_lookup(staging: DataFrame, tables: Tables, enforce: bool = True) ->
     sales = lookup(sales, tables["d_date"], {"full_date": "full_date"}, ["date_id"], "inner")
     for sub in (PRODUCT_CATEGORY, STORE_LOCATION):
         on = {feed: name for name, feed in sub.columns.items()}
-        sales = lookup(sales, tables[sub.table], on, [sub.id], "inner").drop(*on)
+        sales = lookup(sales, tables[sub.table], on, [sub.id], "inner", single=enforce).drop(*on)
     return _fact_columns(_join_product_and_store(sales, tables), enforce)
 
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from salesloom.functions import parse
+from salesloom.functions.measures import partial_total, total
 from salesloom.operators.dedup import one_row_per_key, settled
 from salesloom.operators.keys import content_key, content_key_if_complete, dense_key
 from salesloom.operators.lookup import lookup
@@ -58,12 +59,45 @@ def fact(staging: DataFrame) -> DataFrame:
     business key, so each id is computed from the sale's own columns. This is a
     projection: it moves no rows, whatever the size or skew of the keys.
     """
+    return _fact(staging)
+
+
+def _fact(staging: DataFrame, *more: Column) -> DataFrame:
     sale_date = parse.permissive_date(F.col("sale_date"))
     ids = [
         content_key_if_complete(*[F.col(c) for c in e.key]).alias(e.id) for e in STAR_ENTITIES
     ]
     return staging.select(
-        *ids, content_key_if_complete(sale_date).alias("date_id"), *_measures()
+        *ids, content_key_if_complete(sale_date).alias("date_id"), *_measures(), *more
+    )
+
+
+# Partition columns of the fact by month.
+MONTH = ("sale_year", "sale_month")
+
+
+def fact_by_month(staging: DataFrame) -> DataFrame:
+    """The fact with year and month of each sale, NULL for sales without a date, still a
+    projection: what a table partitioned by month is written from."""
+    date = parse.permissive_date(F.col("sale_date"))
+    return _fact(staging, F.year(date).alias(MONTH[0]), F.month(date).alias(MONTH[1]))
+
+
+def sales_per_month(fact: DataFrame, first: tuple[int, int], last: tuple[int, int]) -> DataFrame:
+    """Sales of the months from ``first`` to ``last``, (year, month) each.
+
+    The range is told in whole years beside it, so that folders of a table partitioned by year and
+    month are skipped before anything is read.
+    """
+    year, month = (F.col(c) for c in MONTH)
+    number = year * 12 + month
+    in_range = year.between(first[0], last[0]) & number.between(
+        first[0] * 12 + first[1], last[0] * 12 + last[1]
+    )
+    return fact.where(in_range).groupBy(*MONTH).agg(
+        F.count(F.lit(1)).alias("num_orders"), *partial_total("sale_total_price", "amount")
+    ).select(
+        year.alias("year"), month.alias("month"), total("amount").alias("total_sales"), "num_orders"
     )
 
 

@@ -11,36 +11,43 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from salesloom import schema
 from salesloom.functions import parse
-from salesloom.operators.keys import content_key, content_key_if_complete
+from salesloom.jobs import loads
+from salesloom.operators.keys import content_key, content_key_if_complete, key_by_place, packed, shown
 from salesloom.plans import marts, quality, reports, snowflake, star
 from salesloom.session import (
-    file_state, materialize, remove_materialized, shared_directory, side_by_side,
+    file_state, materialize, remove_materialized, scratch_folder, side_by_side,
 )
-from salesloom.sources.csv_feed import read_csv_feed, write_csv_feed
+from salesloom.sources.csv_feed import read_csv_feed, read_csv_with_rejects, write_csv_feed
 from salesloom.sources.retail import BROKEN, staging_feed
 from salesloom.sources.tables import CatalogStore, FileStore, write_counted
+from salesloom.sources.versions import VersionedStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The given tables that the feed is derived from.
 SOURCES = ("lineitem", "orders", "customer", "nation", "part", "supplier")
 
-_STAGED: dict[tuple, DataFrame] = {}
+_STAGED: dict[tuple, object] = {}
 
 
-def _once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """``build()`` written to the shared folder, once per application and state of the input."""
+def _kept(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object]):
+    """What ``make()`` has written, once per application and state of the input."""
     state = file_state(spark, [f"{sf_dir}/{t}.parquet" for t in SOURCES])
     key = (spark.sparkContext.applicationId, sf_dir, state, name)
     if key not in _STAGED:
-        _STAGED[key] = materialize(build(), name)
+        _STAGED[key] = make()
     return _STAGED[key]
 
 
+def _once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """``build()`` written to the shared folder."""
+    return _kept(spark, sf_dir, name, lambda: materialize(build(), name))
+
+
 def discard(spark: SparkSession) -> None:
     """Remove the tables that queries of this application have written to the shared folder."""
     application = spark.sparkContext.applicationId
@@ -341,16 +348,227 @@ def dq_reconciliation_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.reconciliation(feed, audited_snowflake(spark, sf_dir, feed, "audit-broken")[1])
 
 
-# --- sources and sinks ----------------------------------------------------------
+# --- later feeds ----------------------------------------------------------------
+
+
+def _feed_no(spark: SparkSession, sf_dir: str, number: int) -> DataFrame:
+    """The sales of even orders (0) or of odd ones (1): two feeds that share most keys and differ in
+    what they say of them."""
+    order = F.split_part("id", F.lit("-"), F.lit(1)).cast("bigint")
+    return staging(spark, sf_dir).where(order % 2 == number)
+
+
+def two_loads(spark: SparkSession, sf_dir: str) -> tuple[VersionedStore, list[loads.Outcome]]:
+    """Both feeds loaded one after the other: the snowflake with numbered ids, the star with hashed."""
+
+    def make():
+        store = VersionedStore(scratch_folder(spark, "versions"))
+        return store, [
+            loads.load_feed(spark, store, _feed_no(spark, sf_dir, n), f"feed {n}") for n in (0, 1)
+        ]
+
+    return _kept(spark, sf_dir, "loaded", make)
+
+
+def _first_load(spark: SparkSession, store: VersionedStore, table: str) -> Column:
+    """Was this row there after the first feed? Ids are numbers and the later ones follow."""
+    before = store.read(spark, table, 1).agg(F.count(F.lit(1)).alias("n"))
+    return (F.col(schema.primary_key(table)) <= before.scalar()).alias("first_load")
+
+
+def load_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the snowflake tables after one feed and after both, and the range of their ids."""
+    store, _ = two_loads(spark, sf_dir)
+
+    def line(table: str) -> DataFrame:
+        id_ = schema.primary_key(table)
+        before = store.read(spark, table, 1).agg(F.count(F.lit(1)).alias("rows_before"))
+        after = store.read(spark, table).agg(
+            F.count(F.lit(1)).alias("rows_after"),
+            F.min(id_).alias("lowest_id"), F.max(id_).alias("highest_id"),
+        )
+        return after.select(
+            F.lit(table).alias("table_name"), before.scalar().alias("rows_before"),
+            "rows_after", "lowest_id", "highest_id",
+        )
+
+    return quality.union_all([line(t) for t in schema.SNOWFLAKE_COLUMNS])
+
+
+def load_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with their pets and locations, and whether the first feed brought them."""
+    store, _ = two_loads(spark, sf_dir)
+    customers = store.read(spark, "d_customer")
+    joined = customers.join(store.read(spark, "d_customer_pet"), "pet_id").join(
+        store.read(spark, "d_customer_location"), "location_id"
+    )
+    return joined.select(
+        "first_name", "last_name", "age", "email", "pet_type", "pet_name", "pet_breed",
+        "pet_category", "country", "postal_code", _first_load(spark, store, "d_customer"),
+    )
+
+
+def load_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products with category and details, and whether the first feed brought them."""
+    store, _ = two_loads(spark, sf_dir)
+    joined = store.read(spark, "d_product").join(
+        store.read(spark, "d_product_category"), "category_id"
+    ).join(store.read(spark, "d_product_details"), "details_id")
+    return joined.select(
+        "name", "category_name", "price", "quantity", *snowflake.DETAILS,
+        _first_load(spark, store, "d_product"),
+    )
+
+
+def load_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales of both feeds with what their ids point to, and whether the first feed brought them."""
+    store, _ = two_loads(spark, sf_dir)
+
+    def named(table: str, **columns: str) -> DataFrame:
+        return store.read(spark, table).select(
+            schema.primary_key(table), *[F.col(c).alias(n) for n, c in columns.items()]
+        )
+
+    sales = store.read(spark, "f_sale")
+    for dimension in (
+        named("d_customer", customer_email="email"), named("d_seller", seller_email="email"),
+        named("d_supplier", supplier_email="email"), named("d_date", full_date="full_date"),
+        named("d_product", product_name="name", category_id="category_id", details_id="details_id"),
+        named("d_product_category", category_name="category_name"),
+        named("d_product_details", weight="weight", color="color"),
+        named("d_store", store_name="name", location_id="location_id"),
+        named("d_store_location", city="city", state="state", country="country"),
+    ):
+        sales = sales.join(dimension, dimension.columns[0])
+    return sales.select(
+        "sale_quantity", "sale_total_price", "customer_email", "seller_email", "supplier_email",
+        "full_date", "product_name", "category_name", "weight", "color", "store_name", "city",
+        "state", "country", _first_load(spark, store, "f_sale"),
+    )
+
+
+def _loaded_mart(name: str) -> Query:
+    """A mart over both feeds, from the sums that each load has stored."""
+    return lambda spark, sf_dir: loads.marts_of(two_loads(spark, sf_dir)[0], spark)[name]
+
+
+def _with_outcome(
+    spark: SparkSession, store: VersionedStore, outcome: loads.Outcome, tables: list[str]
+) -> DataFrame:
+    """The audit lines of a load beside the rows that readers of each table now see."""
+    readable = quality.row_counts({t: store.read(spark, t) for t in tables})
+    return outcome.report.join(
+        readable.withColumnRenamed("row_count", "rows_readable"), "table_name"
+    ).withColumn("published", F.lit(outcome.published))
+
+
+def publish_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of the second feed, which is published."""
+    store, outcomes = two_loads(spark, sf_dir)
+    return _with_outcome(
+        spark, store, outcomes[1], [*schema.SNOWFLAKE_COLUMNS, *schema.STAR_TABLES]
+    )
+
+
+def publish_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of a load that appends the second feed's customers without asking which are
+    known, and its sales without the other dimensions: rejected, readers see the first feed."""
+    store = VersionedStore(scratch_folder(spark, "versions"))
+    loads.load_feed(spark, store, _feed_no(spark, sf_dir, 0), "feed 0", {"star": loads.add_to_star})
+    feed, load = _feed_no(spark, sf_dir, 1), store.begin(spark)
+    load.append(star.dimension(feed, schema.CUSTOMER), "dim_customer")
+    load.append(star.fact(feed), "fact_sales")
+    return _with_outcome(
+        spark, store, loads.publish_if_clean(load, spark, "feed 1"), ["dim_customer", "fact_sales"]
+    )
+
 
+def sale_ids_by_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact with ids numbered by where its rows were written, and what the ids amount to."""
+    stored = stored_dimensions(spark, sf_dir)
+    sales = _once(
+        spark, sf_dir, "unnumbered", lambda: snowflake.fact(staging(spark, sf_dir), stored)
+    )
+    numbered = _once(spark, sf_dir, "placed", lambda: key_by_place(sales, "sale_id"))
+    ids = numbered.agg(
+        F.min("sale_id").alias("lowest_id"), F.max("sale_id").alias("highest_id"),
+        F.count_distinct("sale_id").alias("different_ids"),
+    )
+    return numbered.drop("sale_id").select(
+        "*", *[ids.select(c).scalar().alias(c) for c in ids.columns]
+    )
+
+
+# --- how tables lie -------------------------------------------------------------
+
+
+def fact_sales_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact over dense ids, looked up in dimensions that lie bucketed by their business keys."""
+    feed = staging(spark, sf_dir)
+    plans = {e.table: lambda e=e: star.dimension(feed, e, True) for e in schema.STAR_ENTITIES}
+    plans["dim_date"] = lambda: star.date_dimension(feed, True)
+    dense = _store(spark, sf_dir, "dense", plans)
+    keys = {**{e.table: e.key for e in schema.STAR_ENTITIES}, "dim_date": ("full_date",)}
+
+    def bucketed() -> dict[str, DataFrame]:
+        store, mark = CatalogStore(), os.urandom(8).hex()
+        for table, key in keys.items():
+            name = f"{table}_{mark}"
+            store.write_bucketed(dense[table], name, key, 8, scratch_folder(spark, name))
+        return {table: store.read(spark, f"{table}_{mark}") for table in keys}
+
+    return star.fact_by_lookup(feed, _kept(spark, sf_dir, "bucketed", bucketed))
+
+
+REPLAYED = (1996, 5)
+
+
+def _by_month(spark: SparkSession, sf_dir: str) -> FileStore:
+    """The fact partitioned by month, one month of it then replaced from a corrected feed."""
+
+    def make() -> FileStore:
+        store, feed = FileStore(scratch_folder(spark, "by-month")), staging(spark, sf_dir)
+        store.write_partitioned(star.fact_by_month(feed), "fact_sales", star.MONTH)
+        corrected = star.fact_by_month(feed.withColumn("sale_quantity", F.lit("7"))).where(
+            (F.col("sale_year") == REPLAYED[0]) & (F.col("sale_month") == REPLAYED[1])
+        )
+        store.replace_partitions(corrected, "fact_sales", star.MONTH)
+        return store
 
-def _folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_directory(spark).rstrip('/')}/{name}-{os.urandom(8).hex()}"
+    return _kept(spark, sf_dir, "by-month", make)
+
+
+def replay_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_month(spark, sf_dir).read(spark, "fact_sales")
+
+
+def monthly_trend_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fifteen months of the fact partitioned by month; the others are not read."""
+    return star.sales_per_month(replay_month(spark, sf_dir), (1995, 11), (1997, 1))
+
+
+def _packed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The star tables with ids of 16 bytes."""
+    return _store(spark, sf_dir, "packed", {
+        name: lambda df=df: packed(df, list(schema.STAR_REFERENCES))
+        for name, df in star_tables(spark, sf_dir).items()
+    })
+
+
+def fact_sales_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shown(_packed(spark, sf_dir)["fact_sales"], list(schema.STAR_REFERENCES))
+
+
+def mart_supplier_sales_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.supplier_sales(_packed(spark, sf_dir))
+
+
+# --- sources and sinks ----------------------------------------------------------
 
 
 def io_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed written as delivered (CSV, line breaks and quotes inside fields) and read back."""
-    folder = _folder(spark, "csv")
+    folder = scratch_folder(spark, "csv")
     feed = staging(spark, sf_dir).withColumn("product_description", F.concat(
         "product_description", F.lit('\r\nsecond "line"\n'), "id"
     ))
@@ -358,9 +576,27 @@ def io_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_feed(spark, folder)
 
 
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed delivered beside files with too few and too many columns: sales read, with NULL, and
+    records rejected, with the reason."""
+    folder, feed = scratch_folder(spark, "csv"), staging(spark, sf_dir)
+    order = F.split_part("id", F.lit("-"), F.lit(1)).cast("bigint")
+    write_csv_feed(feed, f"{folder}/whole")
+    write_csv_feed(feed.where(order % 89 == 0).select(*feed.columns[:3]), f"{folder}/narrow")
+    write_csv_feed(feed.where(order % 97 == 0).withColumn("more", F.lit("x")), f"{folder}/wide")
+    good, bad = read_csv_with_rejects(spark, [f"{folder}/{n}" for n in ("whole", "narrow", "wide")])
+    return good.select("id", F.lit(None).cast("string").alias("reason")).unionByName(
+        bad.select(F.split_part("text", F.lit(","), F.lit(1)).alias("id"), "reason")
+    )
+
+
+def parse_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.parse_rejects(broken_staging(spark, sf_dir), "id")
+
+
 def io_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table written twice and counted: the second write replaces the first."""
-    store, dates = FileStore(_folder(spark, "store")), dim_date(spark, sf_dir)
+    store, dates = FileStore(scratch_folder(spark, "store")), dim_date(spark, sf_dir)
     write_counted(store, dates.limit(1), "dim_date")
     rows = write_counted(store, dates, "dim_date")
     return store.read(spark, "dim_date").withColumn("written", F.lit(rows).cast("bigint"))
@@ -452,4 +688,22 @@ QUERIES: dict[str, Query] = {
     "io_overwrite": io_overwrite,
     "io_append": io_append,
     "dq_parse_failures": dq_parse_failures,
+    "load_row_counts": load_row_counts,
+    "load_customers": load_customers,
+    "load_products": load_products,
+    "load_sales": load_sales,
+    "load_mart_product_sales": _loaded_mart("mart_product_sales"),
+    "load_mart_customer_sales": _loaded_mart("mart_customer_sales"),
+    "load_mart_supplier_sales": _loaded_mart("mart_supplier_sales"),
+    "load_mart_time_sales": _loaded_mart("mart_time_sales"),
+    "publish_clean": publish_clean,
+    "publish_broken": publish_broken,
+    "sale_ids_by_place": sale_ids_by_place,
+    "fact_sales_bucketed": fact_sales_bucketed,
+    "replay_month": replay_month,
+    "monthly_trend_range": monthly_trend_range,
+    "fact_sales_packed": fact_sales_packed,
+    "mart_supplier_sales_packed": mart_supplier_sales_packed,
+    "csv_rejects": csv_rejects,
+    "parse_rejects": parse_rejects,
 }

@@ -60,7 +60,7 @@ def shared_directory(spark: SparkSession) -> str:
 _WRITTEN: dict[str, list[str]] = {}
 
 
-def _hadoop_path(spark: SparkSession, name: str):
+def hadoop_path(spark: SparkSession, name: str):
     """A path and its file system, whatever store it is in."""
     path = spark._jvm.org.apache.hadoop.fs.Path(name)
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -70,7 +70,7 @@ def file_state(spark: SparkSession, names: Sequence[str]) -> tuple:
     """Size and time of each file or folder: changes when an input is replaced."""
     state = []
     for name in names:
-        path, system = _hadoop_path(spark, name)
+        path, system = hadoop_path(spark, name)
         content = system.getContentSummary(path)
         state.append((
             content.getLength(), content.getFileCount(),
@@ -80,12 +80,19 @@ def file_state(spark: SparkSession, names: Sequence[str]) -> tuple:
 
 
 def remove_folder(spark: SparkSession, name: str) -> None:
-    path, system = _hadoop_path(spark, name)
+    path, system = hadoop_path(spark, name)
     system.delete(path, True)
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one, deleted by ``remove_materialized``."""
+    folder = f"{shared_directory(spark).rstrip('/')}/{name}-{os.urandom(8).hex()}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return folder
+
+
 def remove_materialized(spark: SparkSession) -> None:
-    """Delete what ``materialize`` has written in this application."""
+    """Delete what ``materialize`` and ``scratch_folder`` have written in this application."""
     for name in _WRITTEN.pop(spark.sparkContext.applicationId, []):
         remove_folder(spark, name)
 
@@ -97,9 +104,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     their columns of a table that outlives any executor.
     """
     spark = df.sparkSession
-    folder = f"{shared_directory(spark).rstrip('/')}/{name}-{os.urandom(8).hex()}"
+    folder = scratch_folder(spark, name)
     df.write.parquet(folder)
-    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 

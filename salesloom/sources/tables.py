@@ -21,6 +21,21 @@ class FileStore:
     def write(self, df: DataFrame, table: str, mode: str = "overwrite") -> None:
         df.write.format(self.format).mode(mode).save(self.path(table))
 
+    def write_partitioned(self, df: DataFrame, table: str, by: Sequence[str]) -> None:
+        """A table with a folder per value of ``by``; filters on these columns skip folders."""
+        self._partitioned(df, by).mode("overwrite").save(self.path(table))
+
+    def replace_partitions(self, df: DataFrame, table: str, by: Sequence[str]) -> None:
+        """Replace the partitions that ``df`` has rows of, whole; the others are not touched."""
+        self._partitioned(df, by).option("partitionOverwriteMode", "dynamic").mode(
+            "overwrite"
+        ).save(self.path(table))
+
+    def _partitioned(self, df: DataFrame, by: Sequence[str]):
+        # Few files per partition; adaptive execution splits one that is large.
+        dealt = df.hint("rebalance", *[F.col(c) for c in by])
+        return dealt.write.format(self.format).partitionBy(*by)
+
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
@@ -38,6 +53,18 @@ class CatalogStore:
     def write(self, df: DataFrame, table: str, mode: str = "overwrite") -> None:
         df.write.format(self.format).mode(mode).saveAsTable(self.name(table))
 
+    def write_bucketed(
+        self, df: DataFrame, table: str, by: Sequence[str], buckets: int, path: str | None = None
+    ) -> None:
+        """A table dealt by a hash of ``by`` into sorted files, one per bucket: what joins or
+        groups it by these columns reads it without a shuffle. Choose buckets of some 100 MB."""
+        writer = df.repartition(buckets, *by).write.format(self.format).bucketBy(
+            buckets, *by
+        ).sortBy(*by).mode("overwrite")
+        if path:
+            writer = writer.option("path", path)
+        writer.saveAsTable(self.name(table))
+
     def name(self, table: str) -> str:
         return f"{self.schema}.{table}"
 

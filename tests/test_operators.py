@@ -122,7 +122,7 @@ def test_hot_and_null_keys_are_split(spark):
         executed = found._jdf.queryExecution().executedPlan()
         found.collect()
         assert "skew=true" in executed.toString()
-        assert "hashpartitioning(k#" in executed.toString() and ", _spread#" in executed.toString()
+        assert "hashpartitioning(_spread#" in executed.toString()
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
