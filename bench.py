@@ -77,6 +77,9 @@ def main() -> None:
         timed("job_staging", lambda: out.write(staged, warehouse.STAGING))
         timed("job_snowflake", lambda: warehouse.build_snowflake(spark, out, out))
         timed("job_star", lambda: warehouse.build_star(spark, out, out))
+        narrow = FileStore(f"{scratch}/packed")
+        timed("job_star_packed", lambda: warehouse.build_star(spark, out, narrow, pack=True))
+        timed("job_months", lambda: warehouse.build_months(spark, out, narrow))
         timed("job_marts", lambda: warehouse.build_marts(spark, out, out))
     registry.discard(spark)
     spark.stop()

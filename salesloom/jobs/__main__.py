@@ -2,11 +2,13 @@
 
     python -m salesloom.jobs ingest    --paths DIR_OR_GLOB --target STORE
     python -m salesloom.jobs snowflake --source STORE --target STORE [--dense]
-    python -m salesloom.jobs star      --source STORE --target STORE [--dense]
+    python -m salesloom.jobs star      --source STORE --target STORE [--dense | --pack]
+    python -m salesloom.jobs months    --source STORE --target FOLDER [--replace]
     python -m salesloom.jobs marts     --source STORE --target STORE
     python -m salesloom.jobs load      --paths DIR_OR_GLOB --feed NAME --target FOLDER [--content-keys]
 
-``load`` adds a named feed to a folder of versioned tables of both models and publishes them
+``months`` writes the star fact in a folder per month; with ``--replace`` only the months of the
+staged sales, each whole. ``load`` adds a named feed to a folder of versioned tables of both models and publishes them
 together if the audit is clean; records that cannot be read go to the table ``rejects``. Its exit code
 is 1 if the load was rejected, with the violations on the output.
 
@@ -60,13 +62,15 @@ def add_feed(spark, args) -> bool:
 
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="salesloom.jobs")
-    parser.add_argument("job", choices=("ingest", "snowflake", "star", "marts", "load"))
+    parser.add_argument("job", choices=("ingest", "snowflake", "star", "months", "marts", "load"))
     parser.add_argument("--paths", nargs="+", help="CSV files, folders or globs (ingest, load)")
     parser.add_argument("--feed", help="name of the feed (load); a name is loaded once")
     parser.add_argument("--content-keys", action="store_true", help="hashed ids (load)")
     parser.add_argument("--source", help="store of the input tables")
     parser.add_argument("--target", required=True, help="store of the output tables")
     parser.add_argument("--dense", action="store_true", help="number ids 1..n")
+    parser.add_argument("--pack", action="store_true", help="hashed ids of 16 bytes (star)")
+    parser.add_argument("--replace", action="store_true", help="replace the staged months (months)")
     parser.add_argument("--jdbc", action="append", default=[], metavar="NAME=VALUE")
     parser.add_argument("--jdbc-splits", type=int, default=1, help="connections per table read")
     parser.add_argument("--jdbc-split-by", default="id", help="text column that deals the rows")
@@ -95,9 +99,14 @@ def main(arguments: list[str] | None = None) -> None:
         source = store(args.source, properties, args.jdbc_splits, args.jdbc_split_by)
         if args.job == "marts":
             counts = warehouse.build_marts(spark, source, target)
+        elif args.job == "months":
+            if not isinstance(target, FileStore):
+                parser.error("months are written to a folder")
+            counts = warehouse.build_months(spark, source, target, args.replace)
+        elif args.job == "star":
+            counts = warehouse.build_star(spark, source, target, args.dense, args.pack)
         else:
-            build = warehouse.build_snowflake if args.job == "snowflake" else warehouse.build_star
-            counts = build(spark, source, target, args.dense)
+            counts = warehouse.build_snowflake(spark, source, target, args.dense)
     for table, rows in counts.items():
         print(f"{table}\t{rows}")
     remove_materialized(spark)

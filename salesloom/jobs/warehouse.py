@@ -1,4 +1,4 @@
-"""The four batch jobs, from delivered files to marts.
+"""The batch jobs, from delivered files to marts.
 
 Each job reads one store and writes another, table by table, and returns the row
 counts it wrote. Jobs overwrite, so a failed run is simply run again.
@@ -8,14 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from salesloom import schema
-from salesloom.operators.keys import key_by_place
+from salesloom.operators.keys import key_by_place, packed
 from salesloom.plans import marts, snowflake, star
 from salesloom.session import materialize, remove_folder, scratch_folder, side_by_side
 from salesloom.sources.csv_feed import read_csv_feed
-from salesloom.sources.tables import JdbcStore, Store, write_counted
+from salesloom.sources.tables import FileStore, JdbcStore, Store, write_counted
 
 STAGING = "staging"
 
@@ -76,23 +76,44 @@ def build_snowflake(
 
 
 def build_star(
-    spark: SparkSession, source: Store, target: Store, dense: bool = False
+    spark: SparkSession, source: Store, target: Store, dense: bool = False, pack: bool = False
 ) -> dict[str, int]:
     """Staging to the seven star tables.
 
     With content keys the fact does not wait for the dimensions; with dense ids it
-    reads them as written.
+    reads them as written. ``pack`` stores content keys as 16 bytes instead of 32 digits.
     """
+    if dense and pack:
+        raise ValueError("numbered ids are not packed")
     feed = read_staging(spark, source)
     plans = {n: lambda df=df: df for n, df in star.dimensions(feed, dense).items()}
     if not dense:
-        return _write_all(spark, target, {**plans, "fact_sales": lambda: star.fact(feed)})
+        tables = {n: plan() for n, plan in plans.items()} | {"fact_sales": star.fact(feed)}
+        if pack:
+            tables = {n: packed(df, list(schema.STAR_REFERENCES)) for n, df in tables.items()}
+        return _write_all(spark, target, {n: lambda df=df: df for n, df in tables.items()})
     counts = _write_all(spark, target, plans)
     stored = {n: target.read(spark, n) for n in counts}
     fact = star.fact_by_lookup(feed, stored)
     return counts | {"fact_sales": write_counted(target, fact, "fact_sales")}
 
 
+def build_months(
+    spark: SparkSession, source: Store, target: FileStore, replace: bool = False
+) -> dict[str, int]:
+    """The star fact partitioned by year and month of sale.
+
+    With ``replace`` only the months that the staged sales fall into are written, each whole: the
+    correction of a month costs that month. Sales without a date are a month of their own.
+    """
+    fact = star.fact_by_month(read_staging(spark, source))
+    seen = Observation("months")
+    counted = fact.observe(seen, F.count(F.lit(1)).alias("rows"))
+    write = target.replace_partitions if replace else target.write_partitioned
+    write(counted, "fact_sales", star.MONTH)
+    return {"fact_sales": seen.get["rows"]}
+
+
 def build_marts(spark: SparkSession, source: Store, target: Store) -> dict[str, int]:
     """Star tables to the six marts. The quality mart is cut from the product mart."""
     tables = {n: source.read(spark, n) for n in schema.STAR_TABLES}

@@ -105,9 +105,26 @@ def test_command_line_runs_on_catalog_tables(spark, sf_dir, tmp_path, monkeypatc
     monkeypatch.setattr(cli, "remove_materialized", lambda spark: None)
     monkeypatch.setattr(type(spark), "stop", lambda self: None)
     spark.sql("CREATE DATABASE IF NOT EXISTS wh")
+    spark.sql("CREATE DATABASE IF NOT EXISTS wh2")
     registry.staging(spark, sf_dir).write.mode("overwrite").saveAsTable("wh.staging")
     cli.main(["star", "--source", "catalog:wh", "--target", str(tmp_path)])
     cli.main(["marts", "--source", str(tmp_path), "--target", "catalog:wh"])
+    by_month = str(tmp_path / "months")
+    cli.main(["months", "--source", "catalog:wh", "--target", by_month])
+    months = spark.read.parquet(f"{by_month}/fact_sales").groupBy(*star.MONTH).count().collect()
+    may = spark.table("wh.staging").where("sale_date like '5/%/1996'").limit(3)
+    may.write.mode("overwrite").saveAsTable("wh2.staging")
+    cli.main(["months", "--source", "catalog:wh2", "--target", by_month, "--replace"])
+    after = spark.read.parquet(f"{by_month}/fact_sales").groupBy(*star.MONTH).count().collect()
+    assert {tuple(r) for r in after} ^ {tuple(r) for r in months} == {
+        (1996, 5, 3), *[tuple(r) for r in months if tuple(r)[:2] == (1996, 5)]
+    }
+    packed_to = str(tmp_path / "packed")
+    cli.main(["star", "--source", "catalog:wh", "--target", packed_to, "--pack"])
+    assert spark.read.parquet(f"{packed_to}/fact_sales").schema["customer_id"].dataType.simpleString() == "binary"
+    cli.main(["marts", "--source", packed_to, "--target", packed_to])
+    assert sorted(map(str, spark.read.parquet(f"{packed_to}/mart_time_sales").collect())) == sorted(
+        map(str, spark.table("wh.mart_time_sales").collect()))
     assert spark.table("wh.mart_time_sales").count() > 0
     assert cli.store("catalog:wh", {}) == CatalogStore("wh")
     assert isinstance(cli.store("jdbc:x:y", {"user": "u"}, 4), JdbcStore)
