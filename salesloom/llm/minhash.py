@@ -84,8 +84,8 @@ def _described(words: int):
                 if len(own) and digest not in seen:
                     seen.add(digest)
                     least = minima(own)
-                    # Half of each minimum is enough to test agreement.
-                    low.append((least & np.uint32(0xFFFF)).astype(np.uint16).tobytes())
+                    # A byte of each minimum: others agree by chance on one in 256 at most.
+                    low.append(least.astype(np.uint8).tobytes())
                     bands.append(bands_of(least).view(np.int64))
                 else:
                     low.append(None)
@@ -107,7 +107,7 @@ DESCRIBED = "doc_id long, at long, n_shingles long, digest binary, signature bin
 
 def _agreeing(least: int) -> hubs.Accept:
     def agree(a: bytes, b: bytes) -> bool:
-        same = np.frombuffer(a, np.uint16) == np.frombuffer(b, np.uint16)
+        same = np.frombuffer(a, np.uint8) == np.frombuffer(b, np.uint8)
         return int(np.count_nonzero(same)) >= least
 
     return agree
