@@ -14,7 +14,7 @@ other but with one hub, the member with the most bands, and the links make compo
 large and small stars). Where a band still holds two components, as near copies of one template do
 that are not similar enough, its classes are grouped anew by their rarest shingles: two similar
 sets share one of the few rarest of each, so a template's own words bring nobody together.
-These groups are compared with hubs again, 16, 256 and so on at a time, until no group
+These groups are compared with hubs again, 8, 64 and so on at a time, until no group
 holds two components. Nothing is left out on the way: a pair is skipped only if it is connected
 already or a bound rules it out.
 """
@@ -38,7 +38,7 @@ ROWS, BANDS = 5, 40
 MISSED = 1e-10  # share of similar pairs that the test of signatures may lose
 CHUNK_BYTES = 1_000_000
 AT_ONCE = 256  # shingles hashed in one step
-HUBS = 16  # factor by which hubs at a time grow in groups by rare shingles
+HUBS = 8  # factor by which hubs at a time grow in groups by rare shingles
 FILTER_BITS = 27  # the filter of candidate texts has at most 2 ** 27 bits, 16 MB
 
 _seeds = mix64(np.arange(1, 2 * ROWS * BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
