@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from salesloom.llm.common import text_or_empty
-from salesloom.llm.spans import MATCH, digits, let, luhn, matches, named, written
+from salesloom.llm.spans import digits, let, luhn, matches, named, written
 
 # Possessive repeats and look-behinds keep each pattern linear on long runs; they accept the
 # same leftmost matches as the plain forms.
