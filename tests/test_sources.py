@@ -163,3 +163,30 @@ def test_jdbc_options():
         "user": "u", "driver": "d", "url": "jdbc:x://h/d", "dbtable": "other",
         "truncate": "true", "numPartitions": "4",
     }
+
+
+def test_csv_text_is_read_without_a_shuffle_of_its_lines(spark, tmp_path):
+    """Lines are joined to records where they lie, whatever the splits and the compression."""
+    rows = [(str(i), f'x "{i}"\n\r\n,{"y" * (i % 50)}', None if i % 3 else "") for i in range(500)]
+    df = spark.createDataFrame(rows, THREE).repartition(2)
+    write_csv_feed(df, str(tmp_path / "plain"))
+    write_csv_feed(df, str(tmp_path / "packed"), "gzip", 100)
+    assert len(list((tmp_path / "packed").glob("*.csv.gz"))) >= 5
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {name: spark.conf.get(name) for name in names}
+    for size in ("400", "128m"):
+        for name in names:
+            spark.conf.set(name, size)
+        try:
+            for kind in ("plain", "packed"):
+                found = read_csv_feed(spark, str(tmp_path / kind), THREE)
+                assert Counter(map(tuple, found.collect())) == Counter(rows)
+        finally:
+            for name in names:
+                spark.conf.set(name, before[name])
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in text
+    # Only counts of splits and parts of records that several splits share are grouped or ordered.
+    for node in text.splitlines():
+        if "Window [" in node:
+            assert "value" not in node
