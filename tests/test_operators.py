@@ -174,3 +174,23 @@ def test_numbers_of_copies_do_not_depend_on_the_piece_size(spark):
 def test_too_many_ranges_are_refused(spark, digits):
     with pytest.raises(ValueError):
         dense_key(spark.createDataFrame([("a",)], "k string"), "n", ["k"], bucket_digits=digits)
+
+
+def test_numbering_by_value_shuffles_wide_rows_once(spark):
+    """Rows of ranges that are not hot go straight to their range, content keys as 16 bytes, and
+    get the numbers they get when every range is hot."""
+    sales = spark.range(4000).select(
+        F.md5((F.col("id") % 700).cast("string")).alias("a_id"),
+        F.when(F.col("id") % 5 > 0, F.md5((F.col("id") % 3).cast("string"))).alias("b_id"),
+        (F.col("id") % 2).alias("n"),
+    )
+    columns = ["sale_id", "a_id", "b_id", "n"]
+    few = dense_key_of_copies(sales, "sale_id", 2, pack=["a_id", "b_id"])
+    rows = sorted(map(tuple, few.select(*columns).collect()))
+    assert [r[0] for r in rows] == list(range(1, 4001))
+    hot = dense_key_of_copies(sales, "sale_id", 2, chunk=2)
+    assert sorted(map(tuple, hot.select(*columns).collect())) == rows
+    # Whole rows are grouped only in hot ranges; the others are ordered where they arrive.
+    text = few._jdf.queryExecution().optimizedPlan().toString()
+    assert "unhex(a_id" in text and "row_number()" in text
+    assert text.count("Window [sum(_n") == 1 and text.count("Window [row_number()") == 1
