@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
+from salesloom.operators.keys import packed, shown
+
 
 @dataclass(frozen=True)
 class FileStore:
@@ -21,19 +23,26 @@ class FileStore:
     def write(self, df: DataFrame, table: str, mode: str = "overwrite") -> None:
         df.write.format(self.format).mode(mode).save(self.path(table))
 
-    def write_partitioned(self, df: DataFrame, table: str, by: Sequence[str]) -> None:
-        """A table with a folder per value of ``by``; filters on these columns skip folders."""
-        self._partitioned(df, by).mode("overwrite").save(self.path(table))
+    def write_partitioned(
+        self, df: DataFrame, table: str, by: Sequence[str], keys: Sequence[str] = ()
+    ) -> None:
+        """A table with a folder per value of ``by``; filters on these columns skip folders.
+
+        Content keys named in ``keys`` are shuffled as 16 bytes, and written as they are.
+        """
+        self._partitioned(df, by, keys).mode("overwrite").save(self.path(table))
 
-    def replace_partitions(self, df: DataFrame, table: str, by: Sequence[str]) -> None:
+    def replace_partitions(
+        self, df: DataFrame, table: str, by: Sequence[str], keys: Sequence[str] = ()
+    ) -> None:
         """Replace the partitions that ``df`` has rows of, whole; the others are not touched."""
-        self._partitioned(df, by).option("partitionOverwriteMode", "dynamic").mode(
+        self._partitioned(df, by, keys).option("partitionOverwriteMode", "dynamic").mode(
             "overwrite"
         ).save(self.path(table))
 
-    def _partitioned(self, df: DataFrame, by: Sequence[str]):
+    def _partitioned(self, df: DataFrame, by: Sequence[str], keys: Sequence[str]):
         # Few files per partition; adaptive execution splits one that is large.
-        dealt = df.hint("rebalance", *[F.col(c) for c in by])
+        dealt = shown(packed(df, keys).hint("rebalance", *[F.col(c) for c in by]), keys)
         return dealt.write.format(self.format).partitionBy(*by)
 
     def path(self, table: str) -> str:

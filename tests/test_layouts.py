@@ -88,6 +88,19 @@ def test_replacing_a_month_touches_its_files_only(spark, sf_dir, tmp_path):
     assert "ReadSchema: struct<sale_total_price:double>" in text
 
 
+def test_months_are_dealt_with_packed_ids_and_written_as_text(spark, sf_dir, tmp_path):
+    fact, ids = star.fact_by_month(registry.staging(spark, sf_dir)), list(schema.STAR_REFERENCES)
+    store = FileStore(str(tmp_path))
+    store.write_partitioned(fact, "fact_sales", star.MONTH, ids)
+    found = store.read(spark, "fact_sales").select(*fact.columns)
+    assert found.exceptAll(fact).isEmpty() and fact.exceptAll(found).isEmpty()
+    dealt = store._partitioned(fact, star.MONTH, ids)._df
+    assert dealt.schema["customer_id"].dataType == T.StringType()
+    before_exchange = dealt._jdf.queryExecution().optimizedPlan().toString().split("Rebalance")[1]
+    assert all(f"unhex({c}" in before_exchange or f") AS {c}" in before_exchange for c in ids)
+    assert "unhex(" in before_exchange
+
+
 def test_packed_ids_take_half_the_width_and_come_back(spark, sf_dir, tmp_path):
     fact, ids = star.fact(registry.staging(spark, sf_dir)), list(schema.STAR_REFERENCES)
     narrow = packed(fact, ids)
