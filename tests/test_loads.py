@@ -231,6 +231,20 @@ def test_states_merge_and_marts_read_no_sale(spark, by_content, tmp_path):
     load.abandon()
 
 
+def test_prices_of_a_state_follow_the_products(spark, by_content):
+    load = by_content.begin(spark)
+    dearer = load.read(spark, "dim_product").withColumn("product_price", F.col("product_price") + 1)
+    load.write(dearer, "dim_product")
+    del load.tables["sales_per_supplier_priced"]  # as sales were loaded before there was one
+    older = rows(loads.marts_of(load, spark)["mart_supplier_sales"])
+    load.tables["sales_per_supplier_priced"] = by_content.contents(spark)["tables"]["sales_per_supplier_priced"]
+    loads._add_priced(load, spark)
+    assert rows(loads.marts_of(load, spark)["mart_supplier_sales"]) == older
+    before = rows(loads.marts_of(by_content, spark)["mart_supplier_sales"])
+    assert before != older and len(before) == len(older)
+    load.abandon()
+
+
 def test_command_line_loads_reports_and_refuses(spark, sf_dir, tmp_path, monkeypatch, capsys):
     from salesloom import registry
     from salesloom.jobs import __main__ as cli

@@ -146,3 +146,29 @@ def test_sums_do_not_depend_on_the_order_of_rows(feed):
     found = {marts.store_sales(star.build(feed(*own))).first()["total_revenue"]
              for own in (amounts, amounts[::-1], sorted(amounts, key=str))}
     assert found == {5 * 1e9 + 3.00000005}
+
+
+def exchanged(df) -> list[str]:
+    """What each shuffle of a plan is dealt by."""
+    text = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+
+
+def test_supplier_sums_leave_a_task_as_one_row_per_supplier(spark, feed, tmp_path):
+    tables = star.build(feed(*[{"product_name": f"p{n}", "product_price": str(n)} for n in range(50)]))
+    for name, df in tables.items():
+        df.write.parquet(str(tmp_path / name))
+    stored = {name: spark.read.parquet(str(tmp_path / name)) for name in tables}
+    lines = exchanged(marts.supplier_sales(stored))
+    assert lines and not any("product_id" in line for line in lines)
+    sums = marts.priced_sales(stored["fact_sales"], stored["dim_product"]).collect()
+    assert [(r.sales, r.price_n, float(r.price_exact)) for r in sums] == [(50, 50, 1225.0)]
+
+
+def test_sales_without_a_product_have_no_price_but_count(feed):
+    built = star.build(feed(
+        {"product_price": "10"}, {"product_category": None, "product_price": "99"}, {"supplier_email": None},
+    ))
+    rows = {r.supplier_name: (r.num_products_sold, r.avg_product_price)
+            for r in marts.supplier_sales(built).collect()}
+    assert rows == {"supplier_name": (2, 10.0), None: (1, 10.0)}
