@@ -125,3 +125,14 @@ def test_dense_ids_give_the_same_model(spark, sf_dir):
     assert resolved(content) == resolved(dense)
     ids = [r.customer_id for r in dense["d_customer"].collect()]
     assert sorted(ids) == list(range(1, len(ids) + 1))
+
+
+def test_packed_ids_give_the_same_fact(spark, feed):
+    staging = feed(*[{"customer_email": f"c{n}", "supplier_email": f"s{n % 3}"} for n in range(9)])
+    tables = {n: df for n, df in snowflake.build(staging, numbered=False).items() if n != "f_sale"}
+    ids = ["customer_id", "seller_id", "product_id", "store_id", "supplier_id", "date_id"]
+    plain = snowflake.fact_by_lookup(staging, tables)
+    packed = snowflake.fact_by_lookup(staging, tables, pack=ids)
+    assert packed.dtypes == plain.dtypes and packed.count() == 9
+    assert packed.exceptAll(plain).isEmpty()
+    assert "unhex" in packed._jdf.queryExecution().optimizedPlan().toString()

@@ -172,3 +172,22 @@ def test_sales_without_a_product_have_no_price_but_count(feed):
     rows = {r.supplier_name: (r.num_products_sold, r.avg_product_price)
             for r in marts.supplier_sales(built).collect()}
     assert rows == {"supplier_name": (2, 10.0), None: (1, 10.0)}
+
+
+def test_the_fact_meets_customers_last_and_without_other_keys(spark, feed, tmp_path):
+    staging = feed(*[{"customer_email": f"c{n}", "store_name": f"s{n % 3}"} for n in range(20)])
+    tables = star.dimensions(staging, dense=True)
+    for name, df in {**tables, "staging": staging}.items():
+        df.write.parquet(str(tmp_path / name))
+    stored = {name: spark.read.parquet(str(tmp_path / name)) for name in [*tables, "staging"]}
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = star.fact_by_lookup(stored["staging"], stored)
+        text = found._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    # The topmost join is the last one; its rows hold no key but the customer's.
+    joins = [line for line in text.splitlines() if "Join LeftOuter" in line]
+    assert "customer_email" in joins[0] and not any("customer_email" in line for line in joins[1:])
+    assert found.count() == 20 and found.where("customer_id IS NULL OR store_id IS NULL").isEmpty()
