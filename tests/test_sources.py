@@ -190,3 +190,32 @@ def test_csv_text_is_read_without_a_shuffle_of_its_lines(spark, tmp_path):
     for node in text.splitlines():
         if "Window [" in node:
             assert "value" not in node
+
+
+def test_orders_meet_their_customers_before_line_items(spark, sf_dir):
+    from salesloom.sources.retail import staging_feed
+
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = staging_feed(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    # No line item is dealt by customer: what lies under that shuffle is the scan of orders.
+    lines = text.splitlines()
+    at = next(i for i, line in enumerate(lines) if "hashpartitioning(o_custkey" in line)
+    scanned = next(line for line in lines[at:] if "FileScan" in line)
+    assert "o_orderkey" in scanned and "l_orderkey" not in scanned
+
+
+def test_tables_are_written_with_small_methods_in_any_session(spark):
+    from salesloom.session import METHODS, small_methods
+
+    held = spark.conf.get(METHODS)
+    spark.conf.set(METHODS, "65535")
+    try:
+        with small_methods(spark):
+            assert spark.conf.get(METHODS) == "8000"
+        assert spark.conf.get(METHODS) == "65535"
+    finally:
+        spark.conf.set(METHODS, held)
