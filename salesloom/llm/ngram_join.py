@@ -151,6 +151,12 @@ def signatures(shingles: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarr
     return np.concatenate(found), np.concatenate(tags)
 
 
+def _halves(digests: list[bytes]) -> np.ndarray:
+    """Digests of 128 bits as two numbers each: the first is the key of a class, the second tells
+    whether two classes share one."""
+    return np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+
+
 def _described(words: int, num: int, den: int):
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(num, den)
@@ -169,13 +175,14 @@ def _described(words: int, num: int, den: int):
                 else:
                     signed.append(None)
                     tagged.append(None)
+            halves = _halves(digests)
             yield pa.RecordBatch.from_arrays(
                 [
                     chunk.column("doc_id"), chunk.column("at"), pa.array(sizes, pa.int64()),
-                    pa.array(digests, pa.binary()), pa.array(signed, pa.list_(pa.int64())),
-                    pa.array(tagged, pa.list_(pa.int64())),
+                    pa.array(halves[:, 0]), pa.array(halves[:, 1]),
+                    pa.array(signed, pa.list_(pa.int64())), pa.array(tagged, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "at", "n_shingles", "digest", "signatures", "tags"],
+                ["doc_id", "at", "n_shingles", "key", "twin", "signatures", "tags"],
             )
 
     return lambda batches: lean(described(batches))
@@ -186,10 +193,10 @@ def _sets_of(words: int):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in in_chunks(batches, "text", CHUNK_BYTES):
             sets = [s.tobytes() for s in shingle_sets(binaries(chunk.column("text")), words)]
-            wanted = chunk.column("digest").to_pylist()
-            own = [xxhash.xxh128_digest(s) == d for s, d in zip(sets, wanted)]
+            keys = _halves([xxhash.xxh128_digest(s) for s in sets])[:, 0]
+            own = keys == chunk.column("key").to_numpy()
             yield pa.RecordBatch.from_arrays(
-                [chunk.column("digest"), pa.array(sets, pa.binary())], ["digest", "shingles"]
+                [chunk.column("key"), pa.array(sets, pa.binary())], ["key", "shingles"]
             ).filter(pa.array(own, pa.bool_()))
 
     return lambda batches: lean(read(batches))
@@ -197,32 +204,32 @@ def _sets_of(words: int):
 
 def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (member u, hub v) whose sets are similar enough."""
-    payloads = sets.select(F.col("digest").alias("key"), F.col("shingles").alias("payload"))
+    payloads = sets.select("key", F.col("shingles").alias("payload"))
     dealt = stage(hubs.dealt(stage(pairs, "pairs")), "pairs")  # read more than once
     return hubs.accepted(dealt, payloads, hubs.similar(num, den)).select("u", "v")
 
 
 def _shared(described: DataFrame) -> DataFrame:
-    """(signature, digest, size) of signatures that two classes share and neither spares."""
-    alike = Window.partitionBy("signature").orderBy("digest")
-    before, after = F.lag("digest").over(alike), F.lead("digest").over(alike)
-    holders = F.count(F.lit(1)).over(Window.partitionBy("signature"))
+    """(signature, key, size, weight) of signatures that two classes share and neither spares;
+    weight is how many of them a class has."""
+    alike = Window.partitionBy("signature")
     rows = described.where(F.col("signatures").isNotNull()).select(
-        "digest", F.col("n_shingles").alias("size"), F.inline(F.arrays_zip("signatures", "tags"))
-    )
-    shared = (
-        rows.select("signatures", "digest", "size", "tags").toDF("signature", "digest", "size", "tag")
-        .select("*", before.alias("before"), after.alias("after"), holders.alias("holders"))
-        .where("before <> digest or after <> digest")
-        .select("signature", "digest", "size", "tag", "holders").distinct()
-    )
-    commonest = Window.partitionBy("digest", "tag").orderBy(
+        "key", F.col("n_shingles").alias("size"), F.inline(F.arrays_zip("signatures", "tags"))
+    ).select(F.col("signatures").alias("signature"), "key", "size", F.col("tags").alias("tag"))
+    shared = rows.select(
+        "*", F.count(F.lit(1)).over(alike).alias("holders"),
+        F.min("key").over(alike).alias("least"), F.max("key").over(alike).alias("most"),
+    ).where("least <> most").select("signature", "key", "size", "tag", "holders").distinct()
+    commonest = Window.partitionBy("key", "tag").orderBy(
         F.col("holders").desc(), F.col("signature").desc()
     )
     spared = F.col("tag").bitwiseAND((1 << 32) - 1)
-    return shared.withColumn("nth", F.row_number().over(commonest)).where(
+    # Both windows are taken over one shuffle.
+    return shared.repartition("key").withColumn("nth", F.row_number().over(commonest)).where(
         F.col("nth") > spared
-    ).select("signature", "digest", "size")
+    ).select(
+        "signature", "key", "size", F.count(F.lit(1)).over(Window.partitionBy("key")).alias("weight")
+    )
 
 
 def _at(doc_id: str, text: str) -> Column:
@@ -258,40 +265,47 @@ def _grouped(
     ).withColumn("at", _at("doc_id", "text"))
     signed = stage(rows.mapInArrow(
         _described(words, num, den),
-        "doc_id long, at long, n_shingles long, digest binary, signatures array<bigint>, tags array<bigint>",
+        "doc_id long, at long, n_shingles long, key long, twin long, signatures array<bigint>, tags array<bigint>",
     ), "shingles")
-    described = stage(signed.select("doc_id", "at", "n_shingles", "digest"), "digests")
+    described = stage(signed.select("doc_id", "at", "n_shingles", "key", "twin"), "digests")
     members = stage(_shared(signed), "shared")
     unstage(signed)  # by far the largest table, and read for the last time
-    classes = described.where("n_shingles > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("least"), F.min("at").alias("at")
-    )
+    filled = described.where("n_shingles > 0")
+    classes = filled.groupBy("key").agg(F.min("at").alias("at"))
 
     edges = None
     roots = None
     if members.take(1):
-        candidates = members.select("digest").distinct()
-        source = stage(classes.select("digest", "at").join(candidates, "digest"), "candidates")
+        candidates = members.select("key").distinct()
+        source = stage(classes.join(candidates, "key"), "candidates")
         sets = stage(_candidate_sets(rows, described, source, words), "sets")
         edges, roots = _links(members, sets, num, den)
 
-    labelled = classes.select("digest", "least")
+    labelled = _named(filled)
     if roots is not None:
-        labels = labelled.join(roots.select(F.col("node").alias("digest"), "root"), "digest", "left")
-        labels = labels.withColumn("root", F.coalesce("root", "digest"))
+        labels = labelled.join(roots.select(F.col("node").alias("key"), "root"), "key", "left")
+        labels = labels.withColumn("root", F.coalesce("root", "key"))
         smallest = labels.groupBy("root").agg(F.min("least").alias("component_id"))
-        labelled = labels.join(smallest, "root").select("digest", "root", "component_id")
+        labelled = labels.join(smallest, "root").select("key", "root", "component_id")
     else:
         labelled = labelled.select(
-            "digest", F.col("digest").alias("root"), F.col("least").alias("component_id")
+            "key", F.col("key").alias("root"), F.col("least").alias("component_id")
         )
-    return described.join(labelled, "digest", "left").select(
+    return described.join(labelled, "key", "left").select(
         "doc_id", "at", "n_shingles", "root",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
         .alias("component_id"),
     )
 
 
+def _named(filled: DataFrame) -> DataFrame:
+    """(key, least): the smallest id of each class. Two classes of one key, which 64 bits leave
+    possible, raise rather than being taken for one."""
+    one = F.min("twin") == F.max("twin")
+    error = F.raise_error(F.lit("two sets of shingles share a key"))
+    return filled.groupBy("key").agg(F.when(one, F.min("doc_id")).otherwise(error).alias("least"))
+
+
 def _candidate_sets(
     rows: DataFrame, described: DataFrame, source: DataFrame, words: int
 ) -> DataFrame:
@@ -307,11 +321,11 @@ def _candidate_sets(
     repeated = bool(described.groupBy("at").count().where("count > 1").take(1))
     if repeated:  # one of equal rows, before they meet by their hash
         near = near.select("doc_id", "text", "at").distinct()
-    texts = near.join(source, "at").select("digest", "text")
+    texts = near.join(source, "at").select("key", "text")
     # Rows of one hash can bring a text of another class: dropped there.
-    found = texts.mapInArrow(_sets_of(words), "digest binary, shingles binary")
+    found = texts.mapInArrow(_sets_of(words), "key long, shingles binary")
     if repeated:  # else each class is read once
-        return found.groupBy("digest").agg(F.first("shingles").alias("shingles"))
+        return found.groupBy("key").agg(F.first("shingles").alias("shingles"))
     return found
 
 
@@ -320,14 +334,15 @@ GROUP = ["signature", "band"]
 
 def _open(groups: DataFrame, roots: DataFrame) -> DataFrame:
     """Groups in which two components meet, one of them at home in the group's size band; a
-    member's own digest is its root if it has no link."""
+    member's own key is its root if it has no link."""
     placed = groups.drop("root").join(
-        roots.select(F.col("node").alias("digest"), "root"), "digest", "left"
-    ).withColumn("root", F.coalesce("root", "digest"))
-    apart = placed.groupBy(*GROUP).agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.max("home").alias("home")
-    ).where("low <> high and home").select(*GROUP)
-    return placed.join(apart, GROUP, "left_semi")
+        roots.select(F.col("node").alias("key"), "root"), "key", "left"
+    ).withColumn("root", F.coalesce("root", "key"))
+    group = Window.partitionBy(*GROUP)
+    return placed.select(
+        "*", F.min("root").over(group).alias("low"), F.max("root").over(group).alias("high"),
+        F.max("home").over(group).alias("settled"),
+    ).where("low <> high and settled").select(*placed.columns)
 
 
 def _fit(one: str, other: str, num: int, den: int) -> Column:
@@ -342,17 +357,22 @@ def _fit(one: str, other: str, num: int, den: int) -> Column:
 
 def _stars(groups: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """Pairs of each group's hub with the members it may be similar to, and what remains of the
-    groups when the hubs have left."""
-    weights = groups.groupBy("digest").agg(F.count(F.lit(1)).alias("weight"))
-    weighed = groups.join(weights, "digest")
-    leaders = weighed.groupBy(*GROUP).agg(
-        F.max(F.struct("home", "weight", "digest", "size", "rank", "root")).alias("hub")
-    )
-    rays = weighed.drop("weight").alias("x").join(leaders.alias("h"), GROUP).where("digest <> hub.digest")
-    pairs = rays.where("x.root <> hub.root").where(_fit("x", "hub", num, den)).select(
-        F.col("digest").alias("u"), F.col("hub.digest").alias("v")
+    groups when the hubs have left: no group of two, whose pair has been taken.
+
+    ``groups`` can bring the ``weight`` of each class, the number of its groups.
+    """
+    weighed = groups
+    if "weight" not in groups.columns:
+        weighed = groups.withColumn("weight", F.count(F.lit(1)).over(Window.partitionBy("key")))
+    group = Window.partitionBy(*GROUP)
+    rays = stage(weighed.select(
+        "*", F.max(F.struct("home", "weight", "key", "size", "rank", "root")).over(group).alias("hub"),
+        F.count(F.lit(1)).over(group).alias("held"),
+    ).where("key <> hub.key").drop("weight"), "stars")  # read for the pairs and for the rest
+    pairs = rays.alias("x").where("root <> hub.root").where(_fit("x", "hub", num, den)).select(
+        F.col("key").alias("u"), F.col("hub.key").alias("v")
     ).distinct()
-    return pairs, rays.select("x.*", *GROUP).select(*groups.columns)
+    return pairs, rays.where("held > 2").drop("hub", "held")
 
 
 def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -364,10 +384,10 @@ def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             which = np.repeat(np.arange(len(sets))[some], sizes[some])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate(sets[some])), batch.column("digest").take(pa.array(which)),
+                    pa.array(np.concatenate(sets[some])), batch.column("key").take(pa.array(which)),
                     pa.array(np.repeat(sizes[some], sizes[some])),
                 ],
-                ["signature", "digest", "size"],
+                ["signature", "key", "size"],
             )
 
 
@@ -382,12 +402,12 @@ def _rarest(open_: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     set is a member of its own band and visits each lower one in which it may have a partner,
     with as many shingles as the smallest partner of that band asks for.
     """
-    rows = sets.join(open_, "digest").mapInArrow(
-        _exploded, "signature long, digest binary, size long"
+    rows = sets.join(open_, "key").mapInArrow(
+        _exploded, "signature long, key long, size long"
     ).withColumn("holders", F.count(F.lit(1)).over(Window.partitionBy("signature")))
     # Shingles that one set holds are the rarest: their number is known without them.
     shared = rows.where("holders > 1")
-    size, own = F.col("size"), Window.partitionBy("digest")
+    size, own = F.col("size"), Window.partitionBy("key")
     alone = size - F.count(F.lit(1)).over(own)
     rank = alone + F.row_number().over(own.orderBy("holders", "signature"))
     smallest = F.ceil(size * num / den)
@@ -400,19 +420,21 @@ def _rarest(open_: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     return shared.withColumn("rank", rank.cast("long")).where(
         F.col("rank") <= size - smallest + 1
     ).select(
-        "signature", "digest", "size", "rank", F.explode(F.sequence(band(smallest), band(size))).alias("band")
+        "signature", "key", "size", "rank", F.explode(F.sequence(band(smallest), band(size))).alias("band")
     ).where(F.col("rank") <= size - overlap + 1).withColumn("home", F.col("band") == band(size))
 
 
 def _links(members: DataFrame, sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """Edges that connect all that similar pairs connect, and the components they make."""
     pairs, rest = _stars(members.withColumns({
-        "root": F.col("digest"), "band": F.lit(0).cast("long"), "rank": F.lit(0).cast("long"),
+        "root": F.col("key"), "band": F.lit(0).cast("long"), "rank": F.lit(0).cast("long"),
         "home": F.lit(True),
     }), num, den)
+    unstage(members)  # the stars hold what is left of them
     edges = stage(_linked(pairs, sets, num, den), "links")
     roots = components(edges)
-    open_ = stage(_open(rest, roots).select("digest").distinct(), "open")
+    open_ = stage(_open(rest, roots).select("key").distinct(), "open")
+    unstage(rest)
     if not open_.take(1):
         return edges, roots
     groups = stage(_open(_rarest(open_, sets, num, den), roots), "rarest")
@@ -426,9 +448,9 @@ def _links(members: DataFrame, sets: DataFrame, num: int, den: int) -> tuple[Dat
         else:  # exact: every open pair of different components
             a, b = groups.alias("a"), groups.alias("b")
             pairs = a.join(b, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in GROUP] + [
-                F.col("a.digest") > F.col("b.digest"), F.col("a.root") != F.col("b.root"),
+                F.col("a.key") > F.col("b.key"), F.col("a.root") != F.col("b.root"),
                 _fit("a", "b", num, den),
-            ]).select(F.col("a.digest").alias("u"), F.col("b.digest").alias("v")).distinct()
+            ]).select(F.col("a.key").alias("u"), F.col("b.key").alias("v")).distinct()
         new = stage(_linked(pairs, sets, num, den), "links")
         if new.take(1):
             edges = edges.union(new)

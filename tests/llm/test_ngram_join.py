@@ -187,3 +187,35 @@ def test_groups_keep_one_row_where_ids_repeat_or_miss(documents):
         (7, text("a")), (3, text("b")), (None, text("c")), (4, text("d")),
         (None, ""), (None, None), (9, " ")}
     assert [d for d, t in kept if t and t[0] in "ef"].count(None) == 1
+
+
+def _plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_groups_are_shuffled_once_and_those_of_two_are_done_with(spark):
+    rows = [
+        (signature, key, 100, weight, key, 0, 0, True)
+        for signature, members in ((1, (5, 6)), (2, (5, 6, 7)), (3, (8, 9)))
+        for key, weight in zip(members, (2, 2, 1))
+    ]
+    groups = spark.createDataFrame(
+        rows, "signature long, key long, size long, weight long, root long, band long, rank long, home boolean"
+    )
+    pairs, rest = ngram_join._stars(groups, 85, 100)
+    assert {tuple(r) for r in pairs.collect()} == {(5, 6), (7, 6), (8, 9)}
+    assert sorted((r["signature"], r["key"]) for r in rest.collect()) == [(2, 5), (2, 7)]
+    roots = spark.createDataFrame([(6, 5), (5, 5)], "node long, root long")
+    plan = _plan_of(ngram_join._open(rest, roots).hint("merge"))
+    assert plan.count("hashpartitioning(signature") == 1
+    assert sorted(r["key"] for r in ngram_join._open(rest, roots).collect()) == [5, 7]
+
+
+def test_classes_of_one_key_raise(spark):
+    rows = spark.createDataFrame(
+        [(3, 1, 10), (2, 1, 10), (4, 2, 20)], "doc_id long, key long, twin long"
+    )
+    assert {r["key"]: r["least"] for r in ngram_join._named(rows).collect()} == {1: 2, 2: 4}
+    clash = rows.unionByName(rows.limit(1).selectExpr("doc_id", "key", "twin + 1 AS twin"))
+    with pytest.raises(Exception, match="share a key"):
+        ngram_join._named(clash).collect()
