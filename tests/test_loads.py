@@ -358,3 +358,42 @@ def test_the_check_shuffles_nothing_more(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
     assert counts[0] == counts[1] == (2, counts[0][1])
+
+
+# --- what both models read of a feed ------------------------------------------------------
+
+
+def test_models_share_descriptions_and_pick_as_each_does_alone(spark, feed, tmp_path):
+    """NULL and '' tie in the snowflake only, so each model may pick another row of a key."""
+    rows_ = feed(
+        sale(1, customer_age=None, customer_country=None, customer_postal_code="b"),
+        sale(1, customer_age=None, customer_country="", customer_postal_code="a"),
+        sale(2, store_city=None, store_location="z", store_phone="2"),
+        sale(2, store_city="", store_location=None, store_phone="3"),
+        sale(2, store_city="", store_location="", store_phone="1"),
+        sale(3, supplier_email=None, seller_email=None), sale(3, product_category=None),
+    )
+    load = VersionedStore(str(tmp_path)).begin(spark)
+    loads.add_to_snowflake(load, spark, rows_, dense=False)
+    loads.add_to_star(load, spark, rows_)
+    for table, df in {**snowflake.build(rows_, numbered=False), **star.build(rows_)}.items():
+        assert rows(load.read(spark, table), "sale_id") == rows(df), table
+    # Dimensions are made from one set of written descriptions, whichever model asks.
+    for entity in schema.STAR_ENTITIES:
+        picked = loads._picked(load, rows_, entity, "_delivered")
+        assert all("aside-winners" in f for f in picked.inputFiles())
+    assert len([f for f in os.listdir(tmp_path / "data") if f.startswith("aside-winners")]) == 5
+    load.clear()
+    assert not [f for f in os.listdir(tmp_path / "data") if f.startswith("aside-")]
+    load.abandon()
+
+
+def test_a_load_makes_its_feed_without_the_staging_table(spark, sf_dir):
+    from salesloom import registry
+
+    feed = registry._feed_no(spark, sf_dir, 1)
+    read = {os.path.basename(f) for f in feed.inputFiles()}
+    assert read == {f"{t}.parquet" for t in registry.SOURCES}
+    staged = registry.staging(spark, sf_dir)
+    assert feed.exceptAll(staged).isEmpty()
+    assert feed.count() + registry._feed_no(spark, sf_dir, 0).count() == staged.count()
