@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -219,3 +220,72 @@ def test_tables_are_written_with_small_methods_in_any_session(spark):
         assert spark.conf.get(METHODS) == "65535"
     finally:
         spark.conf.set(METHODS, held)
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from salesloom.session import WHILE_WRITING, materialize, writing
+
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup)
+    with writing(spark):
+        with writing(spark):
+            assert all(spark.conf.get(n) == v for n, v in WHILE_WRITING.items())
+        assert spark.conf.get(cleanup) == "true"  # another thread is still writing
+    assert spark.conf.get(cleanup) == before
+
+    local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles() -> set[str]:
+        blocks = local.getAllBlocks().iterator()
+        found = set()
+        while blocks.hasNext():
+            found.add(blocks.next().name())
+        return {name for name in found if name.startswith("shuffle_")}
+
+    spark.sparkContext._jvm.System.gc()
+    held = shuffles()
+    table = materialize(
+        spark.range(20000).groupBy((F.col("id") % 5000).alias("k")).agg(F.count("id").alias("n")), "t"
+    )
+    for _ in range(50):
+        left = shuffles() - held
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and table.count() == 5000
+
+
+def test_parts_are_described_once_and_prices_raise_only_where_sold(spark, sf_dir, tmp_path):
+    from pyspark.sql import functions as F
+
+    from salesloom import registry
+    from salesloom.sources.retail import staging_feed
+
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = staging_feed(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    lines = text.splitlines()
+    at = next(i for i, line in enumerate(lines) if "hashpartitioning(p_partkey" in line)
+    assert "split_part" in lines[at + 1] or "_product_color" in lines[at + 1]
+
+    for table in registry.SOURCES:
+        rows = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+        if table == "part":
+            dear = rows.limit(1).withColumn("p_retailprice", F.lit(1e300))
+            rows = rows.unionByName(dear.withColumn("p_partkey", F.lit(-5).cast("bigint")))
+        if table == "lineitem":
+            sold = rows.limit(1).withColumn("l_partkey", F.lit(-5).cast("bigint"))
+            rows.unionByName(sold).write.parquet(str(tmp_path / "sold" / f"{table}.parquet"))
+        else:
+            rows.write.parquet(str(tmp_path / "sold" / f"{table}.parquet"))
+        rows.write.parquet(str(tmp_path / "unsold" / f"{table}.parquet"))
+    expected = staging_feed(spark, sf_dir)
+    found = staging_feed(spark, str(tmp_path / "unsold"))
+    assert found.exceptAll(expected).isEmpty() and found.count() == expected.count()
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|out of range|cannot be represented"):
+        staging_feed(spark, str(tmp_path / "sold")).select("product_price").collect()
