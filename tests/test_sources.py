@@ -289,3 +289,45 @@ def test_parts_are_described_once_and_prices_raise_only_where_sold(spark, sf_dir
     assert found.exceptAll(expected).isEmpty() and found.count() == expected.count()
     with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|out of range|cannot be represented"):
         staging_feed(spark, str(tmp_path / "sold")).select("product_price").collect()
+
+
+def test_text_is_read_again_only_for_records_that_lie_in_several_splits(spark, tmp_path, monkeypatch):
+    """Whole files hold whole records: no line reaches the tasks that would gather parts."""
+    from salesloom.sources import csv_feed
+
+    lines_joined, join = spark.sparkContext.accumulator(0), csv_feed._join_lines()
+
+    def counting(batches):
+        def counted():
+            for batch in batches:
+                lines_joined.add(batch.num_rows)
+                yield batch
+
+        return join(counted())
+
+    monkeypatch.setattr(csv_feed, "_join_lines", lambda: counting)
+    folder = tmp_path / "feed"
+    folder.mkdir()
+    for n in range(3):
+        lines = [f'{n},"ü ""{i}""\nsecond",{i}' for i in range(200)]
+        (folder / f"{n}.csv").write_text("a,b,c\n" + "\n".join(lines) + "\n", encoding="utf-8")
+    settings = {
+        "small": {"spark.sql.files.maxPartitionBytes": "300", "spark.sql.files.openCostInBytes": "1"},
+        "whole": {"spark.sql.files.maxPartitionBytes": "128m", "spark.sql.files.openCostInBytes": "4m"},
+    }
+    joined = {}
+    for name, conf in settings.items():
+        before = {k: spark.conf.get(k) for k in conf}
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        try:
+            found = read_csv_feed(spark, str(folder), THREE)
+            rows = sorted(map(tuple, found.collect()))
+        finally:
+            for k, v in before.items():
+                spark.conf.set(k, v)
+        joined[name], lines_joined.value = lines_joined.value, 0
+        assert rows == sorted(
+            (str(n), f'ü "{i}"\nsecond', str(i)) for n in range(3) for i in range(200)
+        )
+    assert joined["whole"] == 3 * 401 and joined["small"] > 3 * 401, joined
