@@ -194,3 +194,42 @@ def test_numbering_by_value_shuffles_wide_rows_once(spark):
     text = few._jdf.queryExecution().optimizedPlan().toString()
     assert "unhex(a_id" in text and "row_number()" in text
     assert text.count("Window [sum(_n") == 1 and text.count("Window [row_number()") == 1
+
+
+def test_written_tuples_are_ordered_as_their_columns_and_come_back(spark):
+    """Bytes that end or mark a value may be part of one; NULL, '' and prefixes stay apart."""
+    import random
+
+    from salesloom.operators.dedup import read_back, written
+
+    rng = random.Random(4)
+    texts = [None, "", "\x00", "\x01", "\x02", "\x01\x02", "\x01\x01", "\x00\x02", "a", "ab", "ä|", "a\x00"]
+    texts += ["".join(rng.choice("\x00\x01\x02a") for _ in range(rng.randint(1, 6))) for _ in range(40)]
+    rows = [(rng.choice(texts), rng.choice(texts), rng.choice(texts)) for _ in range(400)]
+    df = spark.createDataFrame(rows, "x string, y string, z string")
+    told = df.select("*", written("x", "y", "z").alias("w"))
+    found = [tuple(r) for r in told.select("x", "y", "z", *[
+        c.alias(f"{n}_") for n, c in zip("xyz", read_back("w", "x", "y", "z"))
+    ], "w").collect()]
+    assert all(r[:3] == r[3:6] for r in found)
+
+    def order(row):
+        return [(t is not None, (t or "").encode()) for t in row[:3]]
+
+    assert [order(r) for r in sorted(found, key=lambda r: r[6].encode())] == sorted(map(order, rows))
+    assert len({r[6] for r in found}) == len(set(rows))
+    kept = {tuple(r) for r in one_row_per_key(df, ["x"], ["y", "z"]).collect()}
+    best = {}
+    for row in sorted(rows, key=order):
+        best.setdefault(row[0], row)
+    assert kept == set(best.values())
+
+
+def test_descriptions_are_shuffled_as_two_columns(spark):
+    df = spark.createDataFrame([("a", "b", "c", "d")], "k string, l string, p string, q string")
+    plan = one_row_per_key(df, ["k", "l"], ["p", "q"])._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(dealt) == 2 and "(_key#" in dealt[0] and "(_key#" in dealt[1] and "_payload#" in dealt[1]
+    # Numbers are compared as numbers.
+    numbers = spark.createDataFrame([("a", 10), ("a", 9)], "k string, n int")
+    assert [tuple(r) for r in one_row_per_key(numbers, ["k"], ["n"]).collect()] == [("a", 9)]
